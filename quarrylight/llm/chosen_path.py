@@ -33,21 +33,22 @@ BROADCAST_NODES = 200_000
 
 @dataclass(frozen=True)
 class Forest:
-    """threshold: the least similarity sought. branches: children a node. target_recall: of pairs right at the threshold. leaf_rows: the most a node compares as a whole. dense_share: part of its parent from which on a node no longer branches. block_rows: of a dense node."""
+    """threshold: the least similarity sought. branches: children of a root; deeper: of the other nodes. target_recall: of pairs right at the threshold, met three levels down. leaf_rows: the most a node compares as a whole. dense_share: part of its parent from which on a node no longer branches. block_rows: of a dense node."""
 
     threshold: float
     branches: int = 5
-    target_recall: float = 0.9995
-    leaf_rows: int = 48
+    deeper: int = 2
+    target_recall: float = 0.9975
+    leaf_rows: int = 256
     dense_share: float = 0.5
     block_rows: int = 1024
     deepest: int = 48
 
-    def met(self, depth: int = 8) -> float:
+    def met(self, depth: int = 3) -> float:
         """The probability that one tree keeps a pair at the threshold together down to depth."""
         p = 1.0
-        for _ in range(depth):
-            p = 1 - (1 - self.threshold * p) ** self.branches
+        for level in range(depth, 0, -1):
+            p = 1 - (1 - self.threshold * p) ** (self.branches if level == 1 else self.deeper)
         return p
 
     @property
@@ -55,9 +56,9 @@ class Forest:
         return max(1, math.ceil(math.log(1 - self.target_recall) / math.log(1 - min(self.met(), 1 - 1e-12)) - 1e-9))
 
     def least_nibbles(self) -> int:
-        """Of 32 nibbles that agree: four standard deviations below what a pair at the threshold has."""
+        """Of 32 nibbles that agree: three standard deviations below what a pair at the threshold has."""
         p = self.threshold + (1 - self.threshold) / 16
-        return max(0, math.floor(32 * p - 4 * math.sqrt(32 * p * (1 - p))))
+        return max(0, math.floor(32 * p - 3 * math.sqrt(32 * p * (1 - p))))
 
 
 def with_signature(values: np.ndarray, lengths: np.ndarray) -> dict[str, pa.Array]:
@@ -73,12 +74,17 @@ def _value(at: Column) -> Column:
     return F.element_at("sig", at + 1)
 
 
+def _name(*parts: Column) -> Column:
+    """A node's name: 48 bits, which shuffle smaller than 64 and at worst let two nodes be one."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 16)
+
+
 def _roots(records: DataFrame, forest: Forest) -> DataFrame:
     nodes = []
     for tree in range(forest.trees):
         for j in range(forest.branches):
             at = (tree * forest.branches + j) % COORDINATES
-            nodes.append(F.xxhash64(F.lit(tree), F.lit(j), F.col("grp"), F.lit(at), _value(F.lit(at))))
+            nodes.append(_name(F.lit(tree), F.col("grp"), F.lit(at), _value(F.lit(at))))
     return records.select("*", F.explode(F.array(*nodes)).alias("node"))
 
 
@@ -86,9 +92,9 @@ def _children(rows: DataFrame, forest: Forest) -> DataFrame:
     start = F.xxhash64(F.col("node"), F.lit(1)).bitwiseAND(F.lit(COORDINATES - 1)).cast("int")
     step = F.xxhash64(F.col("node"), F.lit(2)).bitwiseAND(F.lit(COORDINATES - 1)).cast("int").bitwiseOR(F.lit(1))  # odd: the branches' coordinates differ
     nodes = []
-    for j in range(forest.branches):
+    for j in range(forest.deeper):
         at = (start + step * j).bitwiseAND(F.lit(COORDINATES - 1))
-        nodes.append(F.xxhash64(F.col("node"), at, _value(at)))
+        nodes.append(_name(F.col("node"), at, _value(at)))
     return rows.withColumn("node", F.explode(F.array(*nodes)))
 
 
@@ -97,7 +103,7 @@ def _blocks(rows: DataFrame, forest: Forest) -> DataFrame:
     blocks = F.ceil(F.col("cnt") / forest.block_rows).cast("int")
     rows = rows.withColumn("_n", blocks).withColumn("_own", F.pmod(F.xxhash64("rid", F.lit(5)), F.col("_n")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    return rows.withColumn("node", F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other")))
+    return rows.withColumn("node", _name(F.col("node"), F.least("_own", "_other"), F.greatest("_own", "_other")))
 
 
 

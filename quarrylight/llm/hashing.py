@@ -9,12 +9,14 @@ import regex
 import xxhash
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
+_ASCII_WORDS = bytes(c if c < 128 and chr(c).isalnum() else 32 for c in range(256))
 _U = np.uint64
 
 
 def words_of(text: str) -> list[str]:
     """Maximal runs of Unicode letters or digits of the lower-cased text."""
-    return WORD.findall(text.lower())
+    text = text.lower()
+    return text.encode().translate(_ASCII_WORDS).decode().split() if text.isascii() else WORD.findall(text)
 
 
 class WordHashes(dict):
