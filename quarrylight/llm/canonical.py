@@ -86,16 +86,21 @@ def edit_distance(a: str, b: str) -> int:
 
 
 def typing_distance(a: str, b: str) -> int:
-    """As edit_distance, but two neighbours that changed places are one edit."""
-    before: list[int] = []
-    row = list(range(len(b) + 1))
+    """As edit_distance, but two letters that changed places are one edit, with what came or went between them."""
+    far = len(a) + len(b)
+    rows = [[far] * (len(b) + 2), [far, *range(len(b) + 1)]]
+    seen: dict[str, int] = {}
     for i, x in enumerate(a, 1):
-        last, before, row = before, row, [i] + [0] * len(b)
+        row, matched = [far, i] + [0] * len(b), 0
+        rows.append(row)
         for j, y in enumerate(b, 1):
-            row[j] = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                row[j] = min(row[j], last[j - 2] + 1)
-    return row[-1]
+            up, left = seen.get(y, 0), matched
+            if x == y:
+                matched = j
+            swapped = rows[up][left] + (i - up - 1) + 1 + (j - left - 1)
+            row[j + 1] = min(rows[i][j] + (x != y), rows[i][j + 1] + 1, row[j] + 1, swapped)
+        seen[x] = i
+    return rows[-1][-1]
 
 
 class BKTree:
@@ -147,7 +152,7 @@ class Matcher:
                 continue
             self.close.setdefault("".join(words), entry)
             self.ordered.setdefault(_in_any_order(words), entry)
-            for n in range(4, len(words[-1])):
+            for n in range(2 if len(words) > 1 else 4, len(words[-1])):
                 self.cut.setdefault("".join([*words[:-1], words[-1][:n]]), entry)
         self.tree = BKTree(sorted(self.close))
 
