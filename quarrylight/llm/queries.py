@@ -122,7 +122,3 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (p1_found, p2_found, p2_terms, p3_found, p4_found, p5_found, p6_ids, p7_found, p8_found)
     return {f.__name__: f for f in found}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
