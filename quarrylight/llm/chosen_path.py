@@ -29,6 +29,8 @@ from quarrylight.storage import materialize
 COORDINATES = 32
 #: Nodes that may be broadcast; more are joined by a shuffle.
 BROADCAST_NODES = 200_000
+#: Rows compared at once.
+AT_ONCE = 200_000
 
 
 @dataclass(frozen=True)
@@ -56,9 +58,9 @@ class Forest:
         return max(1, math.ceil(math.log(1 - self.target_recall) / math.log(1 - min(self.met(), 1 - 1e-12)) - 1e-9))
 
     def least_nibbles(self) -> int:
-        """Of 32 nibbles that agree: three standard deviations below what a pair at the threshold has."""
+        """Of 32 nibbles that agree: 2.75 standard deviations below what a pair at the threshold has."""
         p = self.threshold + (1 - self.threshold) / 16
-        return max(0, math.floor(32 * p - 3 * math.sqrt(32 * p * (1 - p))))
+        return max(0, math.floor(32 * p - 2.75 * math.sqrt(32 * p * (1 - p))))
 
 
 def with_signature(values: np.ndarray, lengths: np.ndarray) -> dict[str, pa.Array]:
@@ -108,7 +110,7 @@ def _blocks(rows: DataFrame, forest: Forest) -> DataFrame:
 
 
 def _compare(forest: Forest, by_size: bool):
-    """Compares the rows of each node, which follow one another; rows of a node cut by a batch are kept for the next."""
+    """Compares the rows of each node, which follow one another, many nodes at once."""
     least, ratio = forest.least_nibbles(), forest.threshold
 
     def pairs(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -138,28 +140,23 @@ def _compare(forest: Forest, by_size: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
+        rows = 0
 
-        def flush(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            cols = [np.concatenate(x) for x in zip(*parts)]
+        def flush(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             for found in pairs(cols):
                 if len(found[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], schema=schema)
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
-            node = cols[0]
-            cut = int(np.searchsorted(node, node[-1]))  # where the last node begins
-            if cut:
-                yield from flush([*held, [c[:cut] for c in cols]])
-                held = []
-            elif held and held[-1][0][-1] != node[0]:
-                yield from flush(held)
-                held = []
-            held.append([c[cut:] for c in cols])
-        if held:
-            yield from flush(held)
+            held.append([batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)])
+            rows += batch.num_rows
+            if rows >= AT_ONCE:
+                cols = [np.concatenate(x) for x in zip(*held)]
+                cut = int(np.searchsorted(cols[0], cols[0][-1]))  # where the last node, which may go on, begins
+                yield from flush([c[:cut] for c in cols])
+                held, rows = [[c[cut:] for c in cols]], len(cols[0]) - cut
+        if rows:
+            yield from flush([np.concatenate(x) for x in zip(*held)])
 
     return run, "grp int, a long, b long, side int", names
 
