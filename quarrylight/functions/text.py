@@ -60,6 +60,39 @@ def first_paragraph(text: Column, least: int = 50, most: int = 500, separator: s
     return F.substring(F.get(fit, F.lit(0)), 1, most)
 
 
+def first_sentence(text: Column, least: int = 10, most: int = 255) -> Column:
+    """What precedes the first full stop, with one, cut to `most`; null unless it has more than `least` characters."""
+    sentence = stripped(F.substring_index(text, ".", 1))
+    return F.when(F.length(sentence) > least, F.substring(F.concat(sentence, F.lit(".")), 1, most))
+
+
+def labelled(*parts: tuple[str, Column]) -> Column:
+    """A line `label: value` for each part that is neither null nor empty, for a model's prompt. Give lists joined and cut."""
+    return F.concat_ws("\n", *[F.concat(F.lit(f"{label}: "), or_null(part)) for label, part in parts])
+
+
+def file_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def has_path(paths: Column, names: list[str], prefix: str | None = None, any_case: bool = False) -> Column:
+    """Whether a list of root paths holds one of the names, or one that begins with prefix; null paths hold none."""
+    match = lambda p: p.isin(names) | (p.startswith(prefix) if prefix else F.lit(False))
+    return F.coalesce(F.exists(paths, lambda p: match(F.lower(p) if any_case else p)), F.lit(False))
+
+
+def one_of(text: Column, allowed: list[str], otherwise: str | None = None) -> Column:
+    """text in lower case without white space at its ends if it is allowed, else what stands for the rest."""
+    clean = F.lower(stripped(text))
+    return F.when(clean.isin(allowed), clean).otherwise(F.lit(otherwise).cast("string"))
+
+
+def filled(value: Column, by: Column, defaults: dict[str, str], otherwise: str) -> Column:
+    """value, or where it is null or empty the default of `by`."""
+    known = F.create_map(*[F.lit(x) for kv in defaults.items() for x in kv]) if defaults else F.create_map().cast("map<string,string>")
+    return F.coalesce(or_null(value), F.when(by.isNotNull(), F.element_at(known, by)), F.lit(otherwise))
+
+
 def embedding_text(*parts: tuple[str, Column], most: int = 2048) -> Column:
     """The parts that are neither null nor empty, each after its prefix, with a space between, cut to `most`."""
     return F.substring(F.concat_ws(" ", *[F.concat(F.lit(prefix), or_null(part)) for prefix, part in parts]), 1, most)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylight import storage
 from quarrylight.functions import scores, text
 from quarrylight.functions.sets import clean_items, stripped
 from quarrylight.operators import edges, knn, manifests, merging, quality, tagging, trends, vocabulary
 from quarrylight.sources import landing
 from quarrylight.sources.tables import table
+from quarrylight.streaming import changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -610,6 +613,68 @@ def manifest_packages(spark: SparkSession, folder: str) -> DataFrame:
     return manifests.packages(files).select("id", F.explode("packages").alias("package")).groupBy("id", "package").agg(F.count("*").alias("times"))
 
 
+@register(rf"""
+WITH {_REPOS_SQL}, parts AS (SELECT full_name, regexp_replace(split_part(description, '.', 1), {_STRIP}) AS s FROM repos)
+SELECT full_name, CASE WHEN length(s) > 10 THEN left(s || '.', 255) END AS sentence FROM parts
+""")
+def first_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    return repos(spark, folder).select("full_name", text.first_sentence(F.col("description")).alias("sentence"))
+
+
+@register(rf"""
+WITH one AS (SELECT DISTINCT repo_id, quality_assessment AS q, maturity_level AS m FROM enrichment_result), clean AS (SELECT repo_id, lower(regexp_replace(q, {_STRIP})) AS q, lower(regexp_replace(m, {_STRIP})) AS m FROM one)
+SELECT DISTINCT repo_id, CASE WHEN q IN ('high', 'medium', 'low') THEN q ELSE 'medium' END AS quality, CASE WHEN m IN ('research', 'prototype', 'beta', 'production') THEN m END AS maturity FROM clean
+""")
+def clamped_levels(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "enrichment_result")
+    quality_level = text.one_of(F.col("quality_assessment"), ["high", "medium", "low"], "medium")
+    return rows.select("repo_id", quality_level.alias("quality"), text.one_of(F.col("maturity_level"), ["research", "prototype", "beta", "production"]).alias("maturity")).distinct()
+
+
+@register("""
+WITH one AS (SELECT DISTINCT repo_id, repo_name, problem_solved, integration_tags FROM enrichment_result)
+SELECT repo_id, concat_ws(chr(10), 'name: ' || nullif(repo_name, ''), 'problem: ' || nullif(problem_solved, ''), 'dependencies: ' || nullif(array_to_string(integration_tags[1:20], ', '), '')) AS context FROM one
+""")
+def prompt_context(spark: SparkSession, folder: str) -> DataFrame:
+    one = table(spark, folder, "enrichment_result").select("repo_id", "repo_name", "problem_solved", "integration_tags").distinct()
+    listed = F.array_join(F.slice("integration_tags", 1, 20), ", ")
+    return one.select("repo_id", text.labelled(("name", F.col("repo_name")), ("problem", F.col("problem_solved")), ("dependencies", listed)).alias("context"))
+
+
+@register(rf"""
+WITH {_REPOS_SQL}, {_META_SQL}, {_TEXTS_SQL}, {_COMMITS_SQL}, {_VOCAB_SQL},
+tags AS (SELECT id, unnest(tags) AS tag FROM meta), matches AS (SELECT id, ord, category, count(*) AS n FROM tags JOIN vocab USING (tag) GROUP BY ALL),
+best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, ord) AS rn FROM matches),
+paras AS (SELECT id, list_filter(list_transform(string_split(replace(readme, chr(13) || chr(10), chr(10)), chr(10) || chr(10)), lambda p: regexp_replace(regexp_replace(regexp_replace(p, {_STRIP}), '^#+', ''), {_STRIP})), lambda p: NOT starts_with(p, '!') AND length(p) >= 50) AS ps FROM texts)
+SELECT r.full_name, r.owner, nullif(r.license_spdx, 'NOASSERTION') AS license, CASE WHEN r.is_fork THEN r.created_at END AS forked_at, array_to_string(m.tags, ',') AS tags, b.category,
+    lower(b.category) AS category_id, left(p.ps[1], 500) AS summary, coalesce(w.last7, 0) AS last7, coalesce(w.last30, 0) AS last30, coalesce(w.last90, 0) AS last90
+FROM repos r JOIN meta m ON m.id = r.full_name LEFT JOIN best b ON b.id = r.full_name AND b.rn = 1 LEFT JOIN paras p ON p.id = r.name LEFT JOIN windows w ON w.id = r.name WHERE NOT r.is_private
+""")
+def ingest_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """One row a public repo with all that is derived from its metadata, README and commits."""
+    meta = _meta(spark, folder)
+    category = tagging.primary_category(meta, _vocabulary(spark)).select(F.col("id").alias("full_name"), text.or_null(F.col("category")).alias("category"))
+    base = landing.listing(repos(spark, folder)).join(meta.select(F.col("id").alias("full_name"), "tags"), "full_name").join(category, "full_name")
+    readme = _readmes(spark, folder).select(F.col("id").alias("name"), text.first_paragraph(F.col("readme")).alias("summary"))
+    both = base.join(readme, "name", "left").join(_commit_windows(spark, folder).withColumnRenamed("id", "name"), "name", "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("last7", "last30", "last90")]
+    return both.select("full_name", "owner", F.col("license_spdx").alias("license"), "forked_at", F.array_join("tags", ",").alias("tags"), "category", text.slug(F.col("category")).alias("category_id"), "summary", *counts)
+
+
+@register("""
+WITH days AS (SELECT ts, event_type, unnest(generate_series(0, 6)) AS back FROM events), windows AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) - to_days(CAST(back AS INTEGER)) AS "from", event_type FROM days)
+SELECT "from", "from" + INTERVAL 7 DAY AS "to", event_type, count(*) AS events FROM windows WHERE "from" + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY ALL
+""")
+def stream_recency(spark: SparkSession, folder: str) -> DataFrame:
+    """The sliding windows that a stream of the events has closed, as it writes them."""
+    source = f"{folder}/events.parquet*"  # a pattern, as it may be one file
+    stream = changes.arriving(spark, source, "event_id long, ts timestamp_ntz, event_type string").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = f"{storage.shared_folder(spark)}/recency-{uuid.uuid4().hex}"
+    changes.drained(changes.recency(stream, "ts", "event_type"), f"{out}/rows", f"{out}/at")
+    rows = spark.read.schema("from timestamp, to timestamp, event_type string, events long").parquet(f"{out}/rows")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("from", "to")})
+
+
 # --- versions of a table ------------------------------------------------------------------------------------------
 
 _LATE = "daily_fetched_at >= '2025-10-01'"

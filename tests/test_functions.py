@@ -98,3 +98,16 @@ def test_categories_and_builders(spark):
     repos = spark.createDataFrame([(1, "me", True, "Big/thing"), (2, "me", False, "Big/thing"), (3, "me", True, None)], "id int, owner string, is_fork boolean, forked_from string")
     orgs = spark.createDataFrame([("big", "big-tech", "Big Inc")], "login string, org_category string, display_name string")
     assert [tuple(r)[1:] for r in tagging.builders(repos, orgs).orderBy("id").collect()] == [("Big", "Big Inc", "big-tech", True), ("me", "me", "individual", False), ("me", "me", "individual", False)]
+
+
+def test_sentences_levels_and_paths(spark):
+    assert one(spark, "A longer sentence. More", "string", text.first_sentence) == "A longer sentence."
+    assert one(spark, "Short. More", "string", text.first_sentence) is None
+    assert one(spark, " HIGH ", "string", lambda x: text.one_of(x, ["high"], "medium")) == "high"
+    assert one(spark, "great", "string", lambda x: text.one_of(x, ["high"], "medium")) == "medium" and one(spark, None, "string", lambda x: text.one_of(x, ["a"])) is None
+    assert one(spark, "", "string", lambda x: text.filled(x, F.lit("Agents"), {"Agents": "Bots"}, "Tools")) == "Bots"
+    assert one(spark, None, "string", lambda x: text.filled(x, F.lit("?"), {"Agents": "Bots"}, "Tools")) == "Tools"
+    has = lambda x: text.has_path(x, ["tests"], "test_", any_case=True)
+    assert [one(spark, p, "array<string>", has) for p in (["Tests"], ["TEST_a.py"], ["src"], [None], None)] == [True, True, False, False, False]
+    assert one(spark, "a/b/setup.py", "string", text.file_name) == "setup.py"
+    assert one(spark, "x", "string", lambda x: text.labelled(("name", x), ("none", F.lit("")), ("null", F.lit(None)))) == "name: x"
