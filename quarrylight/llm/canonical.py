@@ -140,9 +140,11 @@ def edits_allowed(length: int) -> int:
 
 
 class Matcher:
-    """The names of one field, and what a value stands for."""
+    """The names of one field, and what a value stands for. common: words that many values of the field use."""
 
-    def __init__(self, names: list[tuple[int, str]]):
+    def __init__(self, names: list[tuple[int, str]], common: frozenset[str] = frozenset()):
+        self.common = common
+        self.words: dict[str, set[str]] = defaultdict(set)
         self.close: dict[str, int] = {}
         self.ordered: dict[str, int] = {}
         self.cut: dict[str, int] = {}
@@ -151,6 +153,7 @@ class Matcher:
             if not words:
                 continue
             self.close.setdefault("".join(words), entry)
+            self.words["".join(words)] |= set(words)
             self.ordered.setdefault(_in_any_order(words), entry)
             for n in range(2 if len(words) > 1 else 4, len(words[-1])):
                 self.cut.setdefault("".join([*words[:-1], words[-1][:n]]), entry)
@@ -160,7 +163,8 @@ class Matcher:
         """(distance, entry) of the nearest entry, the smaller entry of several; None if none is near enough.
 
         A value whose words are a name's, in its order or another, is at 0, with qualifiers at 1, cut short before a
-        full stop at 2; one with typing errors at 3 and their number (plus 10 with qualifiers).
+        full stop at 2; one with typing errors at 3 and their number (plus 10 with qualifiers). A common word that the
+        name lacks isn't taken for a typing error.
         """
         forms = plain_forms(words_of(value))
         for k, words in enumerate(forms):
@@ -175,16 +179,18 @@ class Matcher:
             allowed = edits_allowed(len(key))
             for name in self.tree.within(key, 2 * allowed) if allowed else ():  # a swap is two of the metric's edits
                 d = typing_distance(key, name)
+                if any(w in self.common and w not in self.words[name] for w in words):
+                    continue
                 if d <= min(allowed, edits_allowed(len(name))):
                     best = min(best or (99, 0), (3 + d + 10 * (k > 0), self.close[name]))
         return best
 
 
-def _matchers(rows: list[tuple[str, int, str]]) -> dict[str, Matcher]:
+def _matchers(rows: list[tuple[str, int, str]], common: dict[str, frozenset[str]]) -> dict[str, Matcher]:
     names = defaultdict(list)
     for field, entry, name in rows:
         names[field].append((entry, name))
-    return {field: Matcher(x) for field, x in names.items()}
+    return {field: Matcher(x, common.get(field, frozenset())) for field, x in names.items()}
 
 
 def _table(fields: list[str], values: list[str], matchers: dict[str, Matcher]) -> pa.Table:
@@ -192,18 +198,41 @@ def _table(fields: list[str], values: list[str], matchers: dict[str, Matcher]) -
     return pa.table({"field": pa.array(fields, pa.string()), "value": pa.array(values, pa.string()), "distance": pa.array([d for d, _ in found], pa.int32()), "entry": pa.array([e for _, e in found], pa.int64())})
 
 
-def _match_all(rows: list[tuple[str, int, str]]):
+def _value_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """field, value to the distinct words of each value."""
+    for batch in batches:
+        flat = [(f, w) for f, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in sorted(set(words_of(v)))]
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in flat], pa.string()), pa.array([w for _, w in flat], pa.string())], names=["field", "word"])
+
+
+def common_words(values: DataFrame, least: int = 5, share: int = 500) -> dict[str, frozenset[str]]:
+    """By field, the words in at least `least` of its distinct values (field, value) and in one of `share`.
+
+    There are at most share times the mean number of words of them, however many values.
+    """
+    counts = values.mapInArrow(_value_words, "field string, word string").groupBy("field", "word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    totals = values.groupBy("field").agg(F.count("*").alias("all"))
+    out: dict[str, set[str]] = defaultdict(set)
+    for r in counts.join(totals, "field").where(F.col("n") * share >= F.col("all")).collect():
+        out[r["field"]].add(r["word"])
+    return {f: frozenset(w) for f, w in out.items()}
+
+
+def _match_all(rows: list[tuple[str, int, str]], common: dict[str, frozenset[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matchers = _matchers(rows)
+        matchers = _matchers(rows, common)
         for batch in batches:
             yield from _table(batch.column(0).to_pylist(), batch.column(1).to_pylist(), matchers).to_batches()
 
     return run
 
 
-def _match_shard(values: pa.Table, names: pa.Table) -> pa.Table:
-    rows = list(zip(*(names.column(c).to_pylist() for c in ("field", "entry", "name"))))
-    return _table(values.column("field").to_pylist(), values.column("value").to_pylist(), _matchers(rows))
+def _match_shard(common: dict[str, frozenset[str]]):
+    def run(values: pa.Table, names: pa.Table) -> pa.Table:
+        rows = list(zip(*(names.column(c).to_pylist() for c in ("field", "entry", "name"))))
+        return _table(values.column("field").to_pylist(), values.column("value").to_pylist(), _matchers(rows, common))
+
+    return run
 
 
 def mapped(values: DataFrame, reference: DataFrame, shard: int = SHARD, slice_rows: int = SLICE) -> DataFrame:
@@ -221,17 +250,18 @@ def mapped(values: DataFrame, reference: DataFrame, shard: int = SHARD, slice_ro
     exact = names.where("main").select("field", F.col("name").alias("value")).distinct()
     own = values.where(F.col("key").isNotNull() & F.col("value").rlike(r"(?U)\S")).select("key", "field", "value").distinct()
     own = own.join(F.broadcast(exact) if count <= BROADCAST_MAPPINGS else exact, ["field", "value"], "left_anti")
-    distinct = own.select("field", "value").distinct()
+    distinct = materialize(own.select("field", "value").distinct(), "distinct")
+    common = common_words(distinct)
     schema = "field string, value string, distance int, entry long"
     if count <= shard:
         rows = [(r["field"], r["entry"], r["name"]) for r in names.select("field", "entry", "name").collect()]
-        found = distinct.mapInArrow(_match_all(rows), schema)
+        found = distinct.mapInArrow(_match_all(rows, common), schema)
     else:
         shards = -(-count // shard)
         slices = max(1, -(-distinct.count() // slice_rows))
         left = distinct.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(slices)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
         right = names.select("field", "entry", "name").withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-        found = left.groupBy("shard", "slice").cogroup(right.groupBy("shard", "slice")).applyInArrow(lambda v, n: _match_shard(v, n), schema)
+        found = left.groupBy("shard", "slice").cogroup(right.groupBy("shard", "slice")).applyInArrow(_match_shard(common), schema)
         found = found.groupBy("field", "value").agg(F.min(F.when(F.col("entry").isNotNull(), F.struct("distance", "entry"))).alias("best")).select("field", "value", "best.*")
     found = materialize(found.select("field", "value", F.coalesce("entry", F.lit(0)).cast("long").alias("entry")), "mapping")
     found = F.broadcast(found) if found.count() <= BROADCAST_MAPPINGS else found

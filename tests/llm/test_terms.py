@@ -109,6 +109,16 @@ def test_mapping(spark, shard):
     assert got == sorted([("r1", "f", v, e) for v, e in VALUES.items()] + [("r2", "g", "FORESTRY", 9), ("r2", "h", "Forestry", 0)], key=repr)
 
 
+@pytest.mark.parametrize("shard", [100, 1])
+def test_a_common_word_is_no_typing_error(spark, shard):
+    reference = spark.createDataFrame([("f", 5, "Notebook Hosting", True)], "field string, entry long, name string, main boolean")
+    junk = [f"{w} Tasting" for w in ("Cactus", "Kite", "Volcano", "Bonsai", "Puppet")]
+    data = [("r", "f", v) for v in [*junk, "Notebook Tasting", "Notebook Hostnig", "Notebok Hosting"]]
+    values = spark.createDataFrame(data, "key string, field string, value string")
+    got = {r["value"]: r["entry"] for r in mapped(values, reference, shard=shard).collect()}
+    assert got == dict.fromkeys([*junk, "Notebook Tasting"], 0) | {"Notebook Hostnig": 5, "Notebok Hosting": 5}
+
+
 def test_empty_reference_and_values(spark):
     reference = spark.createDataFrame(REFERENCE, "field string, entry long, name string, main boolean")
     values = spark.createDataFrame([("r", "f", "x")], "key string, field string, value string")
