@@ -14,7 +14,7 @@ from quarrylight.llm.canonical import mapped
 from quarrylight.llm.cooccurrence import together
 from quarrylight.llm.leaks import leaks
 from quarrylight.llm.near_duplicates import near_duplicates
-from quarrylight.llm.set_join import similar_sets
+from quarrylight.llm.set_join import gathered, similar_sets
 from quarrylight.llm.shared_spans import shared_spans
 from quarrylight.llm.term_counts import term_counts, term_of
 from quarrylight.sources.tables import table
@@ -61,16 +61,15 @@ def _tag_sets(spark: SparkSession, folder: str) -> DataFrame:
     return repos.unionByName(hubs).select(F.lit(0).alias("grp"), "side", "key", hashed)
 
 
-def _edge_sets(spark: SparkSession, folder: str) -> DataFrame:
+def _edge_sets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame | None]:
     edges = table(spark, folder, "repo_edges").select(F.lower("source_repo_id").alias("key"), F.lower("target_repo_id").alias("to"))
-    edges = edges.where("key <> to").select("key", F.xxhash64("to").alias("token"))
-    return edges.groupBy("key").agg(F.collect_set("token").alias("tokens")).select(F.lit(1).alias("grp"), F.lit(0).alias("side"), "key", "tokens")
+    return gathered(edges.where("key <> to").select(F.lit(1).alias("grp"), F.lit(0).alias("side"), "key", F.xxhash64("to").alias("token")))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """kind, key_a, key_b: pairs of sets of at least 6 values that overlap by 3/4."""
-    sets = _tag_sets(spark, folder).unionByName(_edge_sets(spark, folder))
-    pairs = similar_sets(sets, 3, 4, least_size=6).key_pairs()
+    targets, large = _edge_sets(spark, folder)
+    pairs = similar_sets(_tag_sets(spark, folder).unionByName(targets), 3, 4, least_size=6, large=large).key_pairs()
     kind = F.when(F.col("grp") == 1, "edges").when(F.col("side") == 1, "tags_hub").otherwise("tags")
     return pairs.select(kind.alias("kind"), "key_a", "key_b")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarrylight.llm import chosen_path, hashing, oracle, queries
 from quarrylight.llm.chosen_path import Forest
 from quarrylight.llm.near_duplicates import near_duplicates
-from quarrylight.llm.set_join import similar_sets
+from quarrylight.llm.set_join import gathered, similar_sets
 
 WORDS = [f"w{k}" for k in range(4000)]
 
@@ -98,6 +98,20 @@ def test_similar_sets_against_all_pairs(spark, forest):
     assert sum(r["links"] for r in found.classes().dropDuplicates(["grp", "side", "rid"]).collect()) == 2 * found.pairs.count()
 
 
+@pytest.mark.parametrize("large, chunk", [(1000, 1000), (10, 4), (0, 1000)])
+def test_sets_too_large_for_a_row(spark, large, chunk):
+    rng = random.Random(12)
+    base = [set(rng.choices(range(500), k=rng.randrange(6, 20))) for _ in range(30)]
+    sets = {f"k{k:02d}": s for k, s in enumerate([*base, *[s | {1000 + k} for k, s in enumerate(base)], base[0], base[1]])}
+    want = {(0, 0, a, b) for (a, x), (b, y) in itertools.combinations(sorted(sets.items()), 2) if len(x) >= 6 and len(y) >= 6 and 4 * len(x & y) >= 3 * len(x | y)}
+    df = spark.createDataFrame([(0, 0, k, t) for k, s in sets.items() for t in [*s, min(s)]], "grp int, side int, key string, token long")
+    small, rest = gathered(df, large)
+    assert (rest is None) == (large == 1000)
+    found = similar_sets(small, 3, 4, 6, large=rest, chunk=chunk)
+    assert set(rows(found.key_pairs())) == want and len(want) > 25
+    assert {r["key"] for r in found.classes().collect()} == {k for k, s in sets.items() if len(s) >= 6}
+
+
 def test_no_sets(spark):
     empty = spark.createDataFrame([], "grp int, side int, key string, tokens array<long>")
     assert similar_sets(empty).key_pairs().count() == 0
