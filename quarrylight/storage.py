@@ -10,19 +10,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_own: dict[str, str] = {}
 _written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's shared folder. Only a local session may fall back on a folder of its own."""
-    folder = spark.conf.get(SETTING, None)
+    folder = spark.conf.get(SETTING, None) or _own.get(spark.sparkContext.applicationId)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError(f"{SETTING} must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="quarrylight-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        folder = f"file://{folder}"
-        spark.conf.set(SETTING, folder)
+        folder = _own[spark.sparkContext.applicationId] = f"file://{folder}"
     return folder.rstrip("/")
 
 

@@ -13,4 +13,7 @@ def spark():
 
     session = build_session("tests", cpus=min(4, os.cpu_count() or 4), partitions=4)
     yield session
+    from quarrylight import storage
+
+    storage.release(session)
     session.stop()

@@ -42,7 +42,23 @@ def test_report(spark):
 
 def test_materialized_tables_are_shared(spark):
     df = storage.materialize(spark.range(5), "five")
-    assert df.count() == 5 and storage.shared_folder(spark) in df.inputFiles()[0].replace("file:///", "file:///")
+    assert df.count() == 5 and storage.shared_folder(spark).removeprefix("file://") in df.inputFiles()[0]
+
+
+class Session:
+    """A session as far as shared_folder() looks."""
+
+    def __init__(self, master, folder=None):
+        self.conf, self.sparkContext = {storage.SETTING: folder}, self
+        self.master, self.applicationId = master, f"app-{master}"
+
+
+def test_shared_folder_is_the_setting_or_a_local_one():
+    assert storage.shared_folder(Session("spark://x", "hdfs:///shared/")) == "hdfs:///shared"
+    own = storage.shared_folder(Session("local[2]"))
+    assert own.startswith("file://") and storage.shared_folder(Session("local[2]")) == own
+    with pytest.raises(RuntimeError):
+        storage.shared_folder(Session("local-cluster[3,2,1000]"))
 
 
 def test_changes_are_merged_once(spark, tmp_path):
