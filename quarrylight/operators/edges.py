@@ -77,6 +77,17 @@ def keyword_alternatives(described: DataFrame, groups: dict[str, list[str]], mos
     return pairs.select("*", F.lit(0.7).alias("weight"), F.lit(0.4).alias("confidence"))
 
 
+def keyword_classes(described: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """id, category, links, weight 0.7, confidence 0.4: all pairs of keyword_alternatives with most None, one row an id.
+
+    Two ids of one category are an edge, so an id has links (the others of its category) of them; one alone has no row.
+    """
+    nodes = described.select("id", keyword_group(F.col("problem"), groups).alias("category")).where("id is not null and category is not null")
+    sizes = nodes.groupBy("category").agg(F.count("*").alias("n")).where("n > 1")
+    kept = nodes.join(F.broadcast(sizes), "category")  # one row a group
+    return kept.select("id", "category", (F.col("n") - 1).alias("links"), F.lit(0.7).alias("weight"), F.lit(0.4).alias("confidence"))
+
+
 def depends_on_edges(dependencies: DataFrame, repos: DataFrame) -> DataFrame:
     """source, target, package, ecosystem, weight 1, confidence 0.95: a repo declares a package that another repo is.
 

@@ -137,6 +137,10 @@ def alternative_to_edges(spark: SparkSession, folder: str) -> DataFrame:
 GROUPS = {"query": ["queries", "query"], "label": ["label"], "commit": ["commit", "branch"], "queue": ["queue", "replica", "shard"]}
 
 
+def _problems(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "enrichment_result").groupBy(F.col("repo_id").alias("id")).agg(F.min("problem_solved").alias("problem"))
+
+
 @register("""
 WITH problems AS (SELECT repo_id AS id, min(problem_solved) AS problem FROM enrichment_result GROUP BY repo_id),
 grouped AS (
@@ -149,8 +153,24 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY id) AS rn
 SELECT a.id AS source, b.id AS target, a.category, CAST(0.7 AS DOUBLE) AS weight, CAST(0.4 AS DOUBLE) AS confidence FROM ranked a JOIN ranked b ON a.category = b.category AND a.rn <= 30 AND a.id < b.id
 """)
 def alternative_keyword_edges(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "enrichment_result").groupBy(F.col("repo_id").alias("id")).agg(F.min("problem_solved").alias("problem"))
-    return edges.keyword_alternatives(rows, GROUPS)
+    """The pairs that the first 30 ids of a group begin; alternative_keyword_classes has all."""
+    return edges.keyword_alternatives(_problems(spark, folder), GROUPS)
+
+
+@register("""
+WITH problems AS (SELECT repo_id AS id, min(problem_solved) AS problem FROM enrichment_result GROUP BY repo_id),
+grouped AS (
+    SELECT id, CASE WHEN contains(lower(problem), 'queries') OR contains(lower(problem), 'query') THEN 'query' WHEN contains(lower(problem), 'label') THEN 'label'
+        WHEN contains(lower(problem), 'commit') OR contains(lower(problem), 'branch') THEN 'commit'
+        WHEN contains(lower(problem), 'queue') OR contains(lower(problem), 'replica') OR contains(lower(problem), 'shard') THEN 'queue' END AS category
+    FROM problems
+),
+pairs AS (SELECT a.id, a.category, b.id AS other FROM grouped a JOIN grouped b ON a.category = b.category AND a.id <> b.id)
+SELECT id, category, count(*) AS links, CAST(0.7 AS DOUBLE) AS weight, CAST(0.4 AS DOUBLE) AS confidence FROM pairs GROUP BY id, category
+""")
+def alternative_keyword_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of a group, without a cap, as the class each id is in: two ids of one category are an edge."""
+    return edges.keyword_classes(_problems(spark, folder), GROUPS)
 
 
 @register("""

@@ -5,6 +5,7 @@ import pytest
 from harness import rows
 
 from quarrylight.operators import edges, knn
+from quarrylight.plans import repository
 
 
 def tagged(spark, *lists):
@@ -55,6 +56,25 @@ def test_keyword_groups_match_within_words(spark):
     assert edges.keyword_alternatives(df, groups, None).count() == 1
 
 
+def test_keyword_classes_stand_for_all_pairs(spark):
+    described = [(f"n{k:03d}", ["an IDE", "a queue"][k % 3 == 0]) for k in range(130)] + [("solo", "a shard"), ("none", "nothing"), ("null", None), (None, "an IDE")]
+    df = spark.createDataFrame(described, "id string, problem string")
+    groups = {"editor": ["ide"], "queue": ["queue"], "shard": ["shard"]}
+    found = edges.keyword_classes(df, groups).collect()
+    ids = {c: sorted(r["id"] for r in found if r["category"] == c) for c in groups}
+    pairs = {p for c in groups for p in itertools.combinations(ids[c], 2)}
+    assert pairs == {(r["source"], r["target"]) for r in edges.keyword_alternatives(df, groups, None).collect()}
+    assert sum(r["links"] for r in found) == 2 * len(pairs) and not ids["shard"]
+    assert {(r["weight"], r["confidence"]) for r in found} == {(0.7, 0.4)}
+
+
+def test_registered_keyword_classes_hold_every_pair(spark, tmp_path):
+    n = 70
+    spark.createDataFrame([(f"n{k:03d}", "a queue") for k in range(n)], "repo_id string, problem_solved string").write.parquet(f"{tmp_path}/enrichment_result.parquet")
+    found = repository.QUERIES["alternative_keyword_classes"](spark, str(tmp_path)).collect()
+    assert {r["id"] for r in found} == {f"n{k:03d}" for k in range(n)} and {(r["category"], r["links"]) for r in found} == {("queue", n - 1)}
+
+
 def test_depends_on(spark):
     deps = spark.createDataFrame([("app", "My-Lib", "pypi", True), ("app", "my_lib", "npm", True), ("lib", "mylib", "pypi", True), ("x", "__none__", "s", False), ("y", "mylib", "pypi", False)], "id string, package string, ecosystem string, is_direct boolean")
     repos = spark.createDataFrame([("lib", "my-lib"), ("app", "my-app"), ("e", "")], "id string, name string")
