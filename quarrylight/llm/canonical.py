@@ -140,10 +140,10 @@ def edits_allowed(length: int) -> int:
 
 
 class Matcher:
-    """The names of one field, and what a value stands for. common: words that many values of the field use."""
+    """The names of one field, and what a value stands for. own: words that are no typing errors of other words."""
 
-    def __init__(self, names: list[tuple[int, str]], common: frozenset[str] = frozenset()):
-        self.common = common
+    def __init__(self, names: list[tuple[int, str]], own: frozenset[str] = frozenset()):
+        self.own = own
         self.words: dict[str, set[str]] = defaultdict(set)
         self.close: dict[str, int] = {}
         self.ordered: dict[str, int] = {}
@@ -159,82 +159,118 @@ class Matcher:
                 self.cut.setdefault("".join([*words[:-1], words[-1][:n]]), entry)
         self.tree = BKTree(sorted(self.close))
 
-    def __call__(self, value: str) -> tuple[int, int] | None:
-        """(distance, entry) of the nearest entry, the smaller entry of several; None if none is near enough.
+    def __call__(self, value: str) -> tuple[int, int, list[str]] | None:
+        """(distance, entry, lacking) of the nearest entry, the smaller entry of several; None if none is near enough.
 
         A value whose words are a name's, in its order or another, is at 0, with qualifiers at 1, cut short before a
-        full stop at 2; one with typing errors at 3 and their number (plus 10 with qualifiers). A common word that the
-        name lacks isn't taken for a typing error.
+        full stop at 2; one with typing errors at 3 and their number (plus 10 with qualifiers), and lacking are its
+        words that the name lacks. An own word that the name lacks isn't taken for a typing error.
         """
         forms = plain_forms(words_of(value))
         for k, words in enumerate(forms):
             for key, known in (("".join(words), self.close), (_in_any_order(words), self.ordered)):
                 if key in known:
-                    return min(k, 1), known[key]
+                    return min(k, 1), known[key], []
         if value.rstrip().endswith((".", "…")) and "".join(forms[0]) in self.cut:
-            return 2, self.cut["".join(forms[0])]
+            return 2, self.cut["".join(forms[0])], []
         best = None
         for k, words in enumerate(forms):
             key = "".join(words)
             allowed = edits_allowed(len(key))
             for name in self.tree.within(key, 2 * allowed) if allowed else ():  # a swap is two of the metric's edits
                 d = typing_distance(key, name)
-                if any(w in self.common and w not in self.words[name] for w in words):
+                lacking = sorted(set(words) - self.words[name])
+                if not self.own.isdisjoint(lacking):
                     continue
                 if d <= min(allowed, edits_allowed(len(name))):
-                    best = min(best or (99, 0), (3 + d + 10 * (k > 0), self.close[name]))
+                    best = min(best or (99, 0, []), (3 + d + 10 * (k > 0), self.close[name], lacking))
         return best
 
 
-def _matchers(rows: list[tuple[str, int, str]], common: dict[str, frozenset[str]]) -> dict[str, Matcher]:
+def _matchers(rows: list[tuple[str, int, str]], own: dict[str, frozenset[str]]) -> dict[str, Matcher]:
     names = defaultdict(list)
     for field, entry, name in rows:
         names[field].append((entry, name))
-    return {field: Matcher(x, common.get(field, frozenset())) for field, x in names.items()}
+    return {field: Matcher(x, own.get(field, frozenset())) for field, x in names.items()}
 
 
 def _table(fields: list[str], values: list[str], matchers: dict[str, Matcher]) -> pa.Table:
-    found = [(m(v) if (m := matchers.get(f)) else None) or (None, None) for f, v in zip(fields, values)]
-    return pa.table({"field": pa.array(fields, pa.string()), "value": pa.array(values, pa.string()), "distance": pa.array([d for d, _ in found], pa.int32()), "entry": pa.array([e for _, e in found], pa.int64())})
+    found = [(m(v) if (m := matchers.get(f)) else None) or (None, None, None) for f, v in zip(fields, values)]
+    return pa.table({"field": pa.array(fields, pa.string()), "value": pa.array(values, pa.string()), "distance": pa.array([d for d, _, _ in found], pa.int32()), "entry": pa.array([e for _, e, _ in found], pa.int64()), "lacking": pa.array([x for _, _, x in found], pa.list_(pa.string()))})
 
 
-def _value_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """field, value to the distinct words of each value."""
+#: Distinct companions in values that stand for no name from which on a word is one of its own.
+COMPANIONS = 5
+
+
+def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """field, value, distance to the distinct words of each value, with the other words it has there, and whether the value was taken for a name with typing errors."""
+    for batch in batches:
+        flat = []
+        for field, value, distance in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            words = {w for w in plain_forms(words_of(value))[-1] if w not in WITHIN and not w.isdigit()}
+            flat += [(field, w, " ".join(sorted(words - {w})), distance is not None) for w in sorted(words)]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*flat) if flat else ([],) * 4, (pa.string(), pa.string(), pa.string(), pa.bool_()))], names=["field", "word", "companion", "typed"])
+
+
+def _name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """field, name to the words of each name."""
     for batch in batches:
-        flat = [(f, w) for f, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in sorted(set(words_of(v)))]
+        flat = [(f, w) for f, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in words_of(n)]
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in flat], pa.string()), pa.array([w for _, w in flat], pa.string())], names=["field", "word"])
 
 
-def common_words(values: DataFrame, least: int = 5, share: int = 500) -> dict[str, frozenset[str]]:
-    """By field, the words in at least `least` of its distinct values (field, value) and in one of `share`.
+def own_words(found: DataFrame, names: DataFrame) -> dict[str, frozenset[str]]:
+    """By field, the words that are no typing errors, of those that a value's name lacks (found: field, value, distance, lacking).
 
-    There are at most share times the mean number of words of them, however many values.
+    These are the words of the field's names, and those which values that stand for no name use with at least COMPANIONS
+    different other words, and with more than do the values taken for a name with typing errors. What counts are
+    different folded words without qualifiers, so neither spellings nor repetitions do, nor how many other values there
+    are; a misspelling occurs where the right word does, in values taken for names.
     """
-    counts = values.mapInArrow(_value_words, "field string, word string").groupBy("field", "word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    totals = values.groupBy("field").agg(F.count("*").alias("all"))
+    asked = found.select("field", F.explode("lacking").alias("word")).distinct()
+    uses = found.where("distance is null or distance > 2").select("field", "value", "distance").mapInArrow(_uses, "field string, word string, companion string, typed boolean")
+    uses = uses.join(asked, ["field", "word"], "left_semi").groupBy("field", "word", "companion").agg(F.max("typed").alias("typed"))
+    alone, typed = F.count_if(~F.col("typed")), F.count_if("typed")
+    used = uses.groupBy("field", "word").agg(alone.alias("alone"), typed.alias("typed")).where((F.col("alone") >= COMPANIONS) & (F.col("alone") > F.col("typed"))).select("field", "word")
+    named = names.select("field", "name").mapInArrow(_name_words, "field string, word string").join(asked, ["field", "word"], "left_semi")
     out: dict[str, set[str]] = defaultdict(set)
-    for r in counts.join(totals, "field").where(F.col("n") * share >= F.col("all")).collect():
+    for r in used.union(named).distinct().collect():  # only words that some value has in place of a name's
         out[r["field"]].add(r["word"])
     return {f: frozenset(w) for f, w in out.items()}
 
 
-def _match_all(rows: list[tuple[str, int, str]], common: dict[str, frozenset[str]]):
+def _match_all(rows: list[tuple[str, int, str]], own: dict[str, frozenset[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matchers = _matchers(rows, common)
+        matchers = _matchers(rows, own)
         for batch in batches:
             yield from _table(batch.column(0).to_pylist(), batch.column(1).to_pylist(), matchers).to_batches()
 
     return run
 
 
-def _match_shard(common: dict[str, frozenset[str]]):
+def _match_shard(own: dict[str, frozenset[str]]):
     def run(values: pa.Table, names: pa.Table) -> pa.Table:
         rows = list(zip(*(names.column(c).to_pylist() for c in ("field", "entry", "name"))))
-        return _table(values.column("field").to_pylist(), values.column("value").to_pylist(), _matchers(rows, common))
+        return _table(values.column("field").to_pylist(), values.column("value").to_pylist(), _matchers(rows, own))
 
     return run
 
 
+def _nearest(distinct: DataFrame, names: DataFrame, own: dict[str, frozenset[str]], shard: int, slice_rows: int) -> DataFrame:
+    """field, value, distance, entry, lacking of each value, all three null where it stands for no name."""
+    schema, count = "field string, value string, distance int, entry long, lacking array<string>", names.count()
+    if count <= shard:
+        rows = [(r["field"], r["entry"], r["name"]) for r in names.select("field", "entry", "name").collect()]
+        return distinct.mapInArrow(_match_all(rows, own), schema)
+    shards = -(-count // shard)
+    slices = max(1, -(-distinct.count() // slice_rows))
+    left = distinct.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(slices)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    right = names.select("field", "entry", "name").withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    found = left.groupBy("shard", "slice").cogroup(right.groupBy("shard", "slice")).applyInArrow(_match_shard(own), schema)
+    return found.groupBy("field", "value").agg(F.min(F.when(F.col("entry").isNotNull(), F.struct("distance", "entry", "lacking"))).alias("best")).select("field", "value", "best.*")
+
+
 def mapped(values: DataFrame, reference: DataFrame, shard: int = SHARD, slice_rows: int = SLICE) -> DataFrame:
     """key, field, value, entry: each distinct value of a key, and the entry it stands for, 0 if none.
 
@@ -251,18 +287,13 @@ def mapped(values: DataFrame, reference: DataFrame, shard: int = SHARD, slice_ro
     own = values.where(F.col("key").isNotNull() & F.col("value").rlike(r"(?U)\S")).select("key", "field", "value").distinct()
     own = own.join(F.broadcast(exact) if count <= BROADCAST_MAPPINGS else exact, ["field", "value"], "left_anti")
     distinct = materialize(own.select("field", "value").distinct(), "distinct")
-    common = common_words(distinct)
-    schema = "field string, value string, distance int, entry long"
-    if count <= shard:
-        rows = [(r["field"], r["entry"], r["name"]) for r in names.select("field", "entry", "name").collect()]
-        found = distinct.mapInArrow(_match_all(rows, common), schema)
-    else:
-        shards = -(-count // shard)
-        slices = max(1, -(-distinct.count() // slice_rows))
-        left = distinct.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(slices)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        right = names.select("field", "entry", "name").withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-        found = left.groupBy("shard", "slice").cogroup(right.groupBy("shard", "slice")).applyInArrow(_match_shard(common), schema)
-        found = found.groupBy("field", "value").agg(F.min(F.when(F.col("entry").isNotNull(), F.struct("distance", "entry"))).alias("best")).select("field", "value", "best.*")
+    found = materialize(_nearest(distinct, names, {}, shard, slice_rows), "nearest")
+    own_by_field = own_words(found, names)
+    if own_by_field:
+        words = spark.createDataFrame([(f, sorted(w)) for f, w in own_by_field.items()], "field string, own array<string>")
+        again = found.join(F.broadcast(words), "field", "left").withColumn("again", F.coalesce(F.arrays_overlap("lacking", "own"), F.lit(False)))
+        doubted = materialize(again.where("again").select("field", "value"), "doubted")
+        found = again.where("not again").select("field", "value", "entry").unionByName(_nearest(doubted, names, own_by_field, shard, slice_rows).select("field", "value", "entry"))
     found = materialize(found.select("field", "value", F.coalesce("entry", F.lit(0)).cast("long").alias("entry")), "mapping")
     found = F.broadcast(found) if found.count() <= BROADCAST_MAPPINGS else found
     return own.join(found, ["field", "value"]).select("key", "field", "value", "entry")

@@ -119,6 +119,25 @@ def test_a_common_word_is_no_typing_error(spark, shard):
     assert got == dict.fromkeys([*junk, "Notebook Tasting"], 0) | {"Notebook Hostnig": 5, "Notebok Hosting": 5}
 
 
+@pytest.mark.parametrize("shard", [100, 1])
+def test_a_frequent_misspelling_is_a_typing_error(spark, shard):
+    names = ["Crawl Pipelines", *(f"Crawl {w}" for w in ("Budget", "Frontier", "Scheduling", "Archive", "Hygiene", "Sitemaps"))]
+    reference = spark.createDataFrame([("f", k, n, True) for k, n in enumerate(names, 1)], "field string, entry long, name string, main boolean")
+    want = dict.fromkeys(["Carwl Pipelines", "carwl pipelines", "Carwl-Pipelines", "carwl  pipelines", "Carwl Pipelinse", "Advanced Carwl Pipelines"], 1)
+    want |= {n.replace("Crawl", "Carwl"): k for k, n in enumerate(names, 1)} | {"Cactus Carwl": 0, "Crawl Zebra": 0}
+    values = spark.createDataFrame([("r", "f", v) for v in want], "key string, field string, value string")
+    assert {r["value"]: r["entry"] for r in mapped(values, reference, shard=shard).collect()} == want
+
+
+@pytest.mark.parametrize("others", [0, 4000])
+def test_a_word_stays_one_however_many_values_there_are(spark, others):
+    reference = spark.createDataFrame([("f", 5, "Notebook Hosting", True), ("f", 6, "Notebook Posting", True)], "field string, entry long, name string, main boolean")
+    want = {f"{w} Tasting": 0 for w in ("Cactus", "Kite", "Volcano", "Bonsai", "Puppet")} | {"Notebook Tasting": 0, "Notebook Hostign": 5, "notebook posting": 6}
+    values = spark.createDataFrame([("r", "f", v) for v in [*want, *(f"x{k}" for k in range(others))]], "key string, field string, value string")
+    got = {r["value"]: r["entry"] for r in mapped(values, reference).collect()}
+    assert {v: got[v] for v in want} == want and len(got) == len(want) + others
+
+
 def test_empty_reference_and_values(spark):
     reference = spark.createDataFrame(REFERENCE, "field string, entry long, name string, main boolean")
     values = spark.createDataFrame([("r", "f", "x")], "key string, field string, value string")
