@@ -4,8 +4,9 @@ Every record is a set, held as 32 minwise values (its coordinates). A node of a
 on a few coordinates chosen by a hash of the node, and a record goes to the child named by its value there, so two
 sets of similarity J meet in J of the children. A node of at most leaf_rows records is compared exhaustively; a child
 that keeps most of its parent (its records resemble each other throughout) is compared exhaustively in blocks.
-Independent trees repeat this until a pair at the threshold is met with the probability target_recall. The caller
-verifies the pairs exactly.
+Trees repeat this until a pair at the threshold is met with the probability target_recall. They all draw from the same
+coordinates, so a pair that agrees in few of them is likely missed by every tree; the number of trees allows for that.
+The caller verifies the pairs exactly.
 
 A path depends on nothing but the record's own coordinates, so each level is computed where the record lies; what is
 shuffled a level is one pre-aggregated count a node, and at the end the rows of the leaves, each of which is small.
@@ -46,16 +47,22 @@ class Forest:
     block_rows: int = 1024
     deepest: int = 48
 
-    def met(self, depth: int = 3) -> float:
-        """The probability that one tree keeps a pair at the threshold together down to depth."""
-        p = 1.0
+    def met(self, depth: int = 3, agreeing: float | None = None) -> float:
+        """The probability that one tree keeps a pair together down to depth, if this share of its coordinates agrees."""
+        p, share = 1.0, self.threshold if agreeing is None else agreeing
         for level in range(depth, 0, -1):
-            p = 1 - (1 - self.threshold * p) ** (self.branches if level == 1 else self.deeper)
+            p = 1 - (1 - share * p) ** (self.branches if level == 1 else self.deeper)
         return p
 
+    def recall(self, trees: int, depth: int = 3) -> float:
+        """The probability that so many trees over the same coordinates meet a pair at the threshold, over how many of these agree."""
+        t, n = self.threshold, COORDINATES
+        return math.fsum(math.comb(n, k) * t**k * (1 - t) ** (n - k) * (1 - (1 - self.met(depth, k / n)) ** trees) for k in range(n + 1))
+
     @property
     def trees(self) -> int:
-        return max(1, math.ceil(math.log(1 - self.target_recall) / math.log(1 - min(self.met(), 1 - 1e-12)) - 1e-9))
+        """So many that recall is target_recall, or as many as there are coordinates if none are enough."""
+        return next((n for n in range(1, COORDINATES) if self.recall(n) >= self.target_recall), COORDINATES)
 
     def least_nibbles(self) -> int:
         """Of 32 nibbles that agree: three standard deviations below what a pair at the threshold has."""

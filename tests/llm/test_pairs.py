@@ -124,6 +124,23 @@ def test_recall_is_what_the_trees_promise():
     assert Forest(0.6).least_nibbles() <= 12
 
 
+@pytest.mark.parametrize("threshold, branches", [(0.6, 5), (0.75, 4)])
+def test_recall_with_shared_coordinates(threshold, branches):
+    forest, rng, n = Forest(threshold, branches=branches), random.Random(8), chosen_path.COORDINATES
+
+    def met(agree, level):
+        if level == 3:
+            return True
+        start, step = rng.randrange(n), rng.randrange(1, n, 2)
+        return any(agree[(start + step * j) % n] and met(agree, level + 1) for j in range(forest.deeper))
+
+    found, trials = 0, 20_000
+    for _ in range(trials):
+        agree = [rng.random() < threshold for _ in range(n)]
+        found += any(agree[r % n] and met(agree, 1) for r in range(forest.trees * branches))
+    assert found / trials >= forest.target_recall - 0.001
+
+
 def test_nodes_differ_between_trees(spark):
     records = spark.createDataFrame([(0, list(range(chosen_path.COORDINATES)))], "grp int, sig array<int>")
     nodes = [r["node"] for r in chosen_path._roots(records, Forest(0.6)).collect()]
