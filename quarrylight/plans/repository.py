@@ -688,7 +688,7 @@ SELECT "from", "from" + INTERVAL 7 DAY AS "to", event_type, count(*) AS events F
 def stream_recency(spark: SparkSession, folder: str) -> DataFrame:
     """The sliding windows that a stream of the events has closed, as it writes them."""
     source = f"{folder}/events.parquet*"  # a pattern, as it may be one file
-    stream = changes.arriving(spark, source, "event_id long, ts timestamp_ntz, event_type string").withColumn("ts", F.col("ts").cast("timestamp"))
+    stream = changes.arriving(spark, source, "event_id long, ts timestamp_ntz, event_type string", files=None).withColumn("ts", F.col("ts").cast("timestamp"))
     out = f"{storage.shared_folder(spark)}/recency-{uuid.uuid4().hex}"
     changes.drained(changes.recency(stream, "ts", "event_type"), f"{out}/rows", f"{out}/at")
     rows = spark.read.schema("from timestamp, to timestamp, event_type string, events long").parquet(f"{out}/rows")

@@ -12,9 +12,10 @@ from quarrylight.operators import merging
 from quarrylight.sinks.versioned import VersionedTable
 
 
-def arriving(spark: SparkSession, path: str, schema: str, files: int = 1000) -> DataFrame:
-    """A stream of the rows of Parquet files as they arrive in a folder, at most so many files at a time."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def arriving(spark: SparkSession, path: str, schema: str, files: int | None = 1000) -> DataFrame:
+    """A stream of the rows of Parquet files as they arrive in a folder, at most so many files at a time; all that are there if None."""
+    reader = spark.readStream.schema(schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(path)
 
 
 def changed_only(old: DataFrame, new: DataFrame, key: str, stamp: str) -> DataFrame:
@@ -39,7 +40,10 @@ def upsert_stream(rows: DataFrame, into: VersionedTable, key: str, stamp: str, c
 
 
 def recency(events: DataFrame, at: str, key: str, length: str = "7 days", slide: str = "1 day", late: str = "2 days") -> DataFrame:
-    """from, to, key, events of each sliding window; events later than `late` after the newest are left out of a stream."""
+    """from, to, key, events of each sliding window; rows over `late` older than the newest of an earlier batch are left out of a stream.
+
+    All rows count that come in one batch, so for a result that doesn't depend on the files read all of them in one.
+    """
     counted = events.withWatermark(at, late).groupBy(F.window(at, length, slide), key).agg(F.count("*").alias("events"))
     return counted.select(F.col("window.start").alias("from"), F.col("window.end").alias("to"), key, "events")
 

@@ -1,10 +1,15 @@
+import datetime
 import json
+import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
-from harness import rows
+from harness import compare, rows
 from pyspark.sql import functions as F
 
 from quarrylight import storage
+from quarrylight.plans import repository
 from quarrylight.sinks import versioned
 from quarrylight.streaming import changes
 
@@ -87,3 +92,16 @@ def test_recency(spark, tmp_path):
 def test_changed_only(spark, stamp, changed):
     old = spark.createDataFrame([("a", "1")], "k string, s string")
     assert changes.changed_only(old, spark.createDataFrame([("a", stamp)], "k string, s string"), "k", "s").count() == changed
+
+
+def test_streamed_recency_of_many_files(spark, tmp_path):
+    folder = tmp_path / "events.parquet"
+    folder.mkdir()
+    days = [datetime.datetime(2025, 3, 20)] * 1000 + [datetime.datetime(2025, 3, 1)]
+    for k, day in enumerate(days):  # the oldest row arrives last, in the file over 1,000
+        path = folder / f"{k:05d}.parquet"
+        pq.write_table(pa.table({"event_id": [k], "ts": pa.array([day], pa.timestamp("us")), "event_type": ["x"]}), path)
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    query = repository.QUERIES["stream_recency"]
+    compare(spark, query, repository.SQL["stream_recency"], str(tmp_path))
+    assert any(r["from"] < datetime.datetime(2025, 3, 2) for r in query(spark, str(tmp_path)).collect())
