@@ -97,8 +97,8 @@ def test_changed_only(spark, stamp, changed):
 def test_streamed_recency_of_many_files(spark, tmp_path):
     folder = tmp_path / "events.parquet"
     folder.mkdir()
-    days = [datetime.datetime(2025, 3, 20)] * 1000 + [datetime.datetime(2025, 3, 1)]
-    for k, day in enumerate(days):  # the oldest row arrives last, in the file over 1,000
+    days = [datetime.datetime(2025, 3, 20)] * 2000 + [datetime.datetime(2025, 3, 1)]
+    for k, day in enumerate(days):  # the oldest row arrives last, in the third thousand
         path = folder / f"{k:05d}.parquet"
         pq.write_table(pa.table({"event_id": [k], "ts": pa.array([day], pa.timestamp("us")), "event_type": ["x"]}), path)
         os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
