@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import owner_part, package_key
+from quarrylight.operators.incidence import PAIRS, cell_products
 
 
 def top_of_either(pairs: DataFrame, most: int, *order: Column) -> DataFrame:
@@ -15,27 +16,33 @@ def top_of_either(pairs: DataFrame, most: int, *order: Column) -> DataFrame:
     return ranked.where(F.col("_rank") <= most).drop("_end", "_rank").distinct()
 
 
-def compatible_edges(tagged: DataFrame, least: int = 2, most: int = 30) -> DataFrame:
+def compatible_edges(tagged: DataFrame, least: int = 2, most: int = 30, block: int = 1024) -> DataFrame:
     """source < target, shared_tags, shared_count, weight, confidence of repos that share at least `least` tags.
 
-    tagged: id, tags array<string>, one row an id; null, blank and repeated tags don't count, nor their case. weight is
-    the share of the longer list; a pair stays if it is among the `most` heaviest of either end (ties: by ids).
+    tagged: id string, tags array<string>, one row an id; null, blank and repeated tags don't count, nor their case.
+    weight is the share of the longer list; a pair stays if it is among the `most` heaviest of either end (ties: by ids).
 
-    Two lists that share `least` tags share one that isn't among the least - 1 most frequent of either, so those
-    tags, which would pair most, aren't joined on.
+    Repos meet once, in the cell of the rarest tag they share: products of sparse incidence blocks count there what else
+    they share, and `most` pairs a repo leave a cell. The least - 1 most frequent tags of a list can't be the rarest of
+    `least` shared ones, so repos don't go there. A tag of more than `block` repos has a cell for every two blocks of
+    them. Names of tags are fetched for the pairs that stay.
     """
     tags = F.array_sort(F.array_distinct(F.filter(F.transform("tags", lambda t: F.lower(t)), lambda t: F.trim(t) != "")))
     nodes = tagged.where(F.col("id").isNotNull()).select("id", tags.alias("tags")).where(F.size("tags") >= least)
     flat = nodes.select("id", F.explode("tags").alias("tag"))
-    counts = flat.groupBy("tag").agg(F.count("*").alias("n"))
-    ranked = flat.join(counts, "tag").withColumn("_rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("n"), "tag")))
-    keyed = ranked.where(F.col("_rank") > least - 1).select("id", "tag")
-    met = keyed.select("tag", F.col("id").alias("source")).join(keyed.select("tag", F.col("id").alias("target")), "tag").where("source < target").select("source", "target").distinct()
-    both = met.join(nodes.select(F.col("id").alias("source"), F.col("tags").alias("a")), "source").join(nodes.select(F.col("id").alias("target"), F.col("tags").alias("b")), "target")
-    both = both.select("source", "target", F.array_sort(F.array_intersect("a", "b")).alias("shared_tags"), F.greatest(F.size("a"), F.size("b")).alias("longer"))
-    both = both.withColumn("shared_count", F.size("shared_tags").cast("long")).where(F.col("shared_count") >= least)
-    both = both.withColumn("weight", F.col("shared_count") / F.col("longer")).withColumn("confidence", F.least(F.lit(0.85), F.col("shared_count") / 5))
-    return top_of_either(both.drop("longer"), most, F.desc("weight"))
+    counts = flat.groupBy("tag").agg(F.count("*").alias("n")).withColumn("code", F.xxhash64("tag"))
+    listed = flat.join(counts, "tag").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "code"))).alias("l"))  # the rarest first
+    posted = listed.select("id", F.col("l.code").alias("codes"), F.posexplode(F.slice("l", F.lit(1), F.size("l") - (least - 1))).alias("at", "t"))
+    blocks = F.ceil(F.col("t.n") / block).cast("int")
+    own = F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int")
+    posted = posted.select("id", "codes", "at", F.col("t.code").alias("tag"), own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    cells = posted.select("tag", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("right"), "id", "at", "codes")
+    tasks = 4 * int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number, as small rows make long tasks here
+    found = cells.repartition(tasks, "tag", "p", "q").sortWithinPartitions("tag", "p", "q").mapInArrow(cell_products(least, most), PAIRS)
+    weighted = found.withColumn("weight", F.col("shared_count") / F.col("longer")).withColumn("confidence", F.least(F.lit(0.85), F.col("shared_count") / 5))
+    kept = top_of_either(weighted.drop("longer"), most, F.desc("weight"))
+    both = kept.join(nodes.select(F.col("id").alias("source"), F.col("tags").alias("a")), "source").join(nodes.select(F.col("id").alias("target"), F.col("tags").alias("b")), "target")
+    return both.select("source", "target", F.array_sort(F.array_intersect("a", "b")).alias("shared_tags"), "shared_count", "weight", "confidence")
 
 
 def _first_ids(grouped: DataFrame, group: str, most: int) -> DataFrame:
