@@ -1,16 +1,27 @@
-"""Tables as numbered folders and a pointer to the current one, which readers follow; and documents for publication."""
+"""Tables and snapshots as folders and pointers to the current one, which readers follow; and documents for publication."""
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-class VersionedTable:
-    """A Parquet table whose versions are whole folders. A new version is written first and then named by the pointer
-    in one rename, so that readers see the old or the new rows; versions stay until prune()."""
+#: Seconds after which a pointer without content is that of a writer that died while it wrote it.
+GRACE = 60
+
+
+class Versions:
+    """Folders of one name each and numbered pointers to them; the pointer of the highest number names the current one.
+
+    A version is written as a whole into a folder that nobody else uses, and then published by creating the next pointer
+    with the folder's name in it. Creating fails if the pointer exists, so of two writers that began from one version
+    one fails; a writer that dies leaves at most a folder that nothing names. Readers see the old or the new version.
+    """
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
@@ -20,12 +31,65 @@ class VersionedTable:
         path = jvm.org.apache.hadoop.fs.Path
         return path(self.root).getFileSystem(conf), path
 
+    def _content(self, fs, path) -> str:
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readNBytes(4096)).decode()
+        finally:
+            stream.close()
+
+    def _pointers(self, spark: SparkSession) -> list[tuple[int, str]]:
+        """Number and folder of each published version, the newest last."""
+        fs, path = self._fs(spark)
+        found = fs.globStatus(path(f"{self.root}/_current-*")) or []
+        named = [(int(p.getPath().getName().rpartition("-")[2]), self._content(fs, p.getPath())) for p in found]
+        return sorted((n, f"{self.root}/{name}") for n, name in named if name)
+
     def current(self, spark: SparkSession) -> str | None:
-        """The folder of the current version: the pointer of the highest number."""
+        """The folder of the current version."""
+        pointers = self._pointers(spark)
+        return pointers[-1][1] if pointers else None
+
+    def draft(self, spark: SparkSession) -> tuple[int, str]:
+        """The number of the next version, and a folder for it."""
+        pointers = self._pointers(spark)
+        number = pointers[-1][0] + 1 if pointers else 1
+        return number, f"{self.root}/version-{number:012d}-{uuid.uuid4().hex}"
+
+    def publish(self, spark: SparkSession, number: int, folder: str) -> None:
+        """Makes the written folder version `number`; fails if there is one, and deletes the folder then."""
         fs, path = self._fs(spark)
-        pointers = fs.globStatus(path(f"{self.root}/_current-*")) or []
-        names = sorted(p.getPath().getName() for p in pointers)
-        return f"{self.root}/version-{names[-1].removeprefix('_current-')}" if names else None
+        pointer = path(f"{self.root}/_current-{number:012d}")
+        if fs.exists(pointer) and not self._content(fs, pointer) and fs.getFileStatus(pointer).getModificationTime() < (time.time() - GRACE) * 1000:
+            fs.delete(pointer, False)
+        name = folder.rpartition("/")[2].encode()
+        try:
+            if fs.getUri().getScheme() == "file":  # whose Hadoop client doesn't create exclusively
+                with open(pointer.toUri().getPath(), "xb") as out:
+                    out.write(name)
+            else:
+                out = fs.create(pointer, False)
+                out.write(name, 0, len(name))
+                out.close()
+        except (FileExistsError, Py4JJavaError) as error:
+            fs.delete(path(folder), True)
+            raise RuntimeError(f"version {number} of {self.root} exists: another writer was first") from error
+
+    def prune(self, spark: SparkSession, keep: int = 2, abandoned: int = 86_400) -> None:
+        """Deletes all but the newest versions, and folders that nothing names and that are older than so many seconds."""
+        fs, path = self._fs(spark)
+        pointers = self._pointers(spark)
+        for number, folder in pointers[:-keep]:
+            fs.delete(path(f"{self.root}/_current-{number:012d}"), False)
+            fs.delete(path(folder), True)
+        named = {folder.rpartition("/")[2] for _, folder in pointers}
+        for found in fs.globStatus(path(f"{self.root}/version-*")) or []:
+            if found.getPath().getName() not in named and found.getModificationTime() < (time.time() - abandoned) * 1000:
+                fs.delete(found.getPath(), True)
+
+
+class VersionedTable(Versions):
+    """A Parquet table of which each version is a folder."""
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         folder = self.current(spark)
@@ -34,44 +98,35 @@ class VersionedTable:
     def write(self, rows: DataFrame, *partition_by: str) -> str:
         """Publishes rows, which may be made of the current version, as the next one. Of two writers one fails."""
         spark = rows.sparkSession
-        fs, path = self._fs(spark)
-        now = self.current(spark)
-        number = int(now.rpartition("-")[2].partition(".")[0]) + 1 if now else 1
-        name = f"{number:012d}"
-        draft = f"{self.root}/_draft-{uuid.uuid4().hex}"
+        number, folder = self.draft(spark)
         writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
-        writer.parquet(draft)
-        folder = f"{self.root}/version-{name}"
-        if not fs.rename(path(draft), path(folder)) or not fs.createNewFile(path(f"{self.root}/_current-{name}")):
-            raise RuntimeError(f"{folder} exists: another writer was first")
+        writer.parquet(folder)
+        self.publish(spark, number, folder)
         return folder
 
-    def prune(self, spark: SparkSession, keep: int = 2) -> None:
-        """Deletes all but the newest versions."""
-        fs, path = self._fs(spark)
-        names = sorted(p.getPath().getName().removeprefix("_current-") for p in fs.globStatus(path(f"{self.root}/_current-*")) or [])
-        for name in names[:-keep]:
-            fs.delete(path(f"{self.root}/_current-{name}"), False)
-            fs.delete(path(f"{self.root}/version-{name}"), True)
-
 
 def sorted_json(rows: DataFrame) -> DataFrame:
     """One column json: each row as an object with its keys in order."""
     return rows.select(F.to_json(F.struct(*sorted(rows.columns))).alias("json"))
 
 
-def snapshot(nodes: DataFrame, similar: DataFrame, typed: DataFrame, parameters: dict[str, str], folder: str) -> dict[str, int]:
-    """Publishes a graph as three folders of JSON lines and one of its statistics; returns the counts.
+def snapshot(nodes: DataFrame, similar: DataFrame, typed: DataFrame, parameters: dict[str, str], root: str) -> dict[str, object]:
+    """Publishes a graph as the next version under root: three folders of JSON lines and one of its statistics.
 
-    The parts are written by the executors; the driver sees their counts alone.
+    Returns folder, size_bytes and the counts. The parts are written by the executors, which count them as they do; the
+    driver sees the counts alone. Readers follow Versions(root).current() and never see parts of two versions.
     """
-    counts = {}
+    spark, versions = nodes.sparkSession, Versions(root)
+    number, folder = versions.draft(spark)
+    counts: dict[str, object] = {}
     for name, rows in (("nodes", nodes), ("similarity_edges", similar), ("typed_edges", typed)):
-        sorted_json(rows).write.mode("overwrite").text(f"{folder}/{name}")
-        counts[name] = rows.sparkSession.read.text(f"{folder}/{name}").count()
-    stats = nodes.sparkSession.createDataFrame([{**counts, **parameters}])
-    sorted_json(stats).write.mode("overwrite").text(f"{folder}/stats")
-    return counts
+        seen = Observation()
+        sorted_json(rows).observe(seen, F.count(F.lit(1)).alias("n")).write.text(f"{folder}/{name}")
+        counts[name] = seen.get["n"]
+    sorted_json(spark.createDataFrame([{**counts, **parameters}])).write.text(f"{folder}/stats")
+    versions.publish(spark, number, folder)
+    fs, path = versions._fs(spark)
+    return {**counts, "folder": folder, "size_bytes": fs.getContentSummary(path(folder)).getLength()}
 
 
 def ingested_event(names: DataFrame, most: int = 200) -> DataFrame:
@@ -87,3 +142,11 @@ def report_markdown(verdict: DataFrame, failed: DataFrame, most: int = 10) -> st
     lines += [f"| {r['check']} | {r['failed']} | {r['passed']} |" for r in rows]
     shown = failed.orderBy("check", "id").limit(most).collect()
     return "\n".join([*lines, "", *[f"- {r['id']}: {r['check']}: {r['issue']}" for r in shown]]) + "\n"
+
+
+def report_json(verdict: DataFrame, failed: DataFrame, most: int = 10) -> str:
+    """The same as one JSON object: passed, exit_code (0 or 1), checks, and the first failures."""
+    rows = verdict.orderBy("check").collect()  # one row a check
+    shown = failed.orderBy("check", "id").limit(most).collect()
+    passed = all(r["passed"] for r in rows)
+    return json.dumps({"checks": [r.asDict() for r in rows], "exit_code": 0 if passed else 1, "failures": [r.asDict() for r in shown], "passed": passed}, sort_keys=True)

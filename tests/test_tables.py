@@ -25,11 +25,42 @@ def test_versions_and_pointer(spark, tmp_path):
     assert rows(table.read(spark)) == [(2,), (3,), (4,)] and len(list((tmp_path / "edges").glob("version-*"))) == 1
 
 
+def test_a_writer_that_died_costs_nothing(spark, tmp_path):
+    table = versioned.VersionedTable(str(tmp_path / "t"))
+    table.write(spark.range(3))
+    _, folder = table.draft(spark)
+    spark.range(100, 103).write.parquet(folder)  # and dies before it publishes
+    table.write(spark.range(500, 510))
+    assert rows(table.read(spark)) == [(n,) for n in range(500, 510)]
+    (tmp_path / "t" / "_current-000000000003").touch()  # dies while it publishes
+    assert rows(table.read(spark)) == [(n,) for n in range(500, 510)]
+    with pytest.raises(RuntimeError):
+        table.write(spark.range(1))
+    os.utime(tmp_path / "t" / "_current-000000000003", (1, 1))
+    table.write(spark.range(1))
+    assert rows(table.read(spark)) == [(0,)]
+    table.prune(spark, keep=1, abandoned=-10)
+    assert len(list((tmp_path / "t").glob("version-*"))) == 1 and rows(table.read(spark)) == [(0,)]
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    table = versioned.VersionedTable(str(tmp_path / "t"))
+    table.write(spark.range(1))
+    one, other = table.draft(spark), table.draft(spark)
+    for (_, folder), n in ((one, 10), (other, 20)):
+        spark.range(n, n + 1).write.parquet(folder)
+    table.publish(spark, *other)
+    with pytest.raises(RuntimeError):
+        table.publish(spark, *one)
+    assert rows(table.read(spark)) == [(20,)]
+
+
 def test_snapshot(spark, tmp_path):
     nodes = spark.createDataFrame([("b", 1), ("a", 2)], "z string, a int")
-    counts = versioned.snapshot(nodes, nodes.limit(1), nodes.limit(0), {"k": "12"}, str(tmp_path / "s"))
-    assert counts == {"nodes": 2, "similarity_edges": 1, "typed_edges": 0}
-    line = spark.read.text(str(tmp_path / "s/nodes")).first()[0]
+    done = versioned.snapshot(nodes, nodes.limit(1), nodes.limit(0), {"k": "12"}, str(tmp_path / "s"))
+    assert [done[k] for k in ("nodes", "similarity_edges", "typed_edges")] == [2, 1, 0] and done["size_bytes"] > 0
+    assert versioned.Versions(str(tmp_path / "s")).current(spark) == done["folder"]
+    line = spark.read.text(f"{done['folder']}/nodes").first()[0]
     assert list(json.loads(line)) == ["a", "z"]
 
 
