@@ -49,3 +49,8 @@ def sync_state(ahead: Column, behind: Column) -> Column:
         .when(ahead > 0, "ahead")
         .otherwise("up-to-date")
     )
+
+
+def quality_overall(signals: Column) -> Column:
+    """The number `overall` of a JSON object, to 4 places; null where it is missing, no number or the text no object."""
+    return F.round(F.get_json_object(signals, "$.overall").try_cast("double"), 4)

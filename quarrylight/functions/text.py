@@ -120,3 +120,20 @@ def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     norm = F.sqrt(dot(a, a) * dot(b, b))
     return F.when(norm > 0, dot(a, b) / norm)
+
+
+# What in a repo's root tells of tests, in any case, and of a build service.
+TEST_PATHS, CI_PATHS = ["test", "tests", "spec", "specs", "__tests__", "test_", "pytest.ini", "jest.config.js", "jest.config.ts"], [".github", ".circleci", ".travis.yml", "Jenkinsfile", ".gitlab-ci.yml", "azure-pipelines.yml"]
+
+
+def has_tests(paths: Column) -> Column:
+    return has_path(paths, TEST_PATHS, "test_", any_case=True)
+
+
+def has_ci(paths: Column) -> Column:
+    return has_path(paths, CI_PATHS)
+
+
+def listed_names(text: Column) -> Column:
+    """The names of a list separated by commas or white space; null and blank lists have none."""
+    return F.coalesce(F.filter(F.split(text, r"(?U)[,\s]+"), lambda n: n != ""), F.array().cast("array<string>"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrylight.functions.text import owner_part, package_key
+from quarrylight.functions.scores import quality_overall, stars_log
+from quarrylight.functions.text import or_null, owner_part, package_key, repo_part
 from quarrylight.operators.incidence import PAIRS, cell_products
 
 
@@ -74,8 +75,11 @@ def keyword_group(text: Column, groups: dict[str, list[str]]) -> Column:
     return out.otherwise(F.lit(None).cast("string"))
 
 
-def keyword_alternatives(described: DataFrame, groups: dict[str, list[str]], most: int | None = 30) -> DataFrame:
-    """As alternative_edges, weight 0.7, confidence 0.4, by keyword_group of the column problem; all pairs of a group if most is None."""
+def keyword_alternatives(described: DataFrame, groups: dict[str, list[str]], most: int | None = None) -> DataFrame:
+    """As alternative_edges, weight 0.7, confidence 0.4, by keyword_group of the column problem: all pairs of a group, unless most is given.
+
+    The pairs grow with the square of a group; keyword_classes() holds the same edges in linear size.
+    """
     nodes = described.select("id", keyword_group(F.col("problem"), groups).alias("category")).where("id is not null and category is not null")
     if most is None:
         pairs = nodes.select("category", F.col("id").alias("source")).join(nodes.select("category", F.col("id").alias("target")), "category").where("source < target").select("source", "target", "category")
@@ -98,11 +102,13 @@ def keyword_classes(described: DataFrame, groups: dict[str, list[str]]) -> DataF
 def depends_on_edges(dependencies: DataFrame, repos: DataFrame) -> DataFrame:
     """source, target, package, ecosystem, weight 1, confidence 0.95: a repo declares a package that another repo is.
 
-    dependencies: id, package, ecosystem, is_direct; repos: id, name. Names are compared without case, hyphens and
-    underscores; of repos of one name the greatest id is meant. Indirect rows, `__none__` and self-links are left out;
-    of several packages for one pair the first by name stays.
+    dependencies: id, package, ecosystem, is_direct; repos: id, name, and may have forked_from. A repo provides what its upstream repo
+    is called, or else its own name. Names are compared without case, hyphens and underscores; of repos of one name the
+    greatest id is meant. Indirect rows, `__none__` and self-links are left out; of several packages for one pair the
+    first by name stays.
     """
-    index = repos.where("name is not null and name <> ''").groupBy(package_key(F.col("name")).alias("key")).agg(F.max("id").alias("target"))
+    name = repo_part(F.coalesce(or_null(F.col("forked_from")), F.col("name")) if "forked_from" in repos.columns else F.col("name"))
+    index = repos.groupBy(package_key(name).alias("key")).agg(F.max("id").alias("target")).where("key <> ''")
     wanted = dependencies.where("is_direct and package <> '__none__'").select(F.col("id").alias("source"), "package", "ecosystem", package_key(F.col("package")).alias("key"))
     pairs = wanted.join(index, "key").where("source <> target").groupBy("source", "target").agg(F.min(F.struct("package", "ecosystem")).alias("first"))
     return pairs.select("source", "target", "first.package", "first.ecosystem", F.lit(1.0).alias("weight"), F.lit(0.95).alias("confidence"))
@@ -158,3 +164,15 @@ def regression_gate(before: DataFrame, after: DataFrame, abort: float = 0.5, war
     one = one.withColumn("lost", F.greatest(lost, F.lit(0.0)))
     verdict = F.when(F.col("before") == 0, "pass").when((F.col("lost") > abort) | (F.col("vanished") != ""), "abort").when(F.col("lost") > warn, "warn").otherwise("pass")
     return one.select("before", "after", F.round("lost", 6).alias("lost"), "vanished", verdict.alias("verdict"))
+
+
+def public_nodes(repos: DataFrame) -> DataFrame:
+    """repo_id, name, owner, description, primary_category, stars, stars_log, quality, updated_at of public repos, by owner and name.
+
+    repos: id, the columns of those names, is_private, quality_signals (JSON). Unknown stars are 0; a time is ISO text.
+    """
+    public = repos.where(~F.coalesce("is_private", F.lit(False)))
+    return public.orderBy("owner", "name", "id").select(
+        F.col("id").alias("repo_id"), "name", "owner", "description", "primary_category", F.coalesce("stars", F.lit(0)).cast("long").alias("stars"), stars_log(F.col("stars")).alias("stars_log"),
+        quality_overall(F.col("quality_signals")).alias("quality"), F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("updated_at"),
+    )

@@ -10,6 +10,7 @@ from quarrylight.functions.sets import stripped
 # The files in order of preference, and the ecosystem of each.
 ECOSYSTEMS = {"requirements.txt": "pypi", "pyproject.toml": "pypi", "package.json": "npm", "setup.py": "pypi", "go.mod": "go", "Cargo.toml": "cargo"}
 
+# Fixed value: what of a requirement is its name.
 _NAME = "^([a-zA-Z0-9_-]+)"
 _STATE = "struct<inside:boolean,out:array<string>>"
 
@@ -118,3 +119,9 @@ def chosen_packages(files: DataFrame) -> DataFrame:
     found = ranked.select("id", F.explode(F.array_distinct("packages")).alias("package"), F.element_at(kinds, base).alias("ecosystem"), F.col("file").alias("source_file"), F.lit(True).alias("is_direct"))
     none = files.select("id").distinct().join(ranked, "id", "left_anti").select("id", F.lit("__none__").alias("package"), F.lit("__sentinel__").alias("ecosystem"), F.lit(None).cast("string").alias("source_file"), F.lit(False).alias("is_direct"))
     return found.unionByName(none)
+
+
+def dependency_counts(chosen: DataFrame) -> DataFrame:
+    """One row of chosen_packages()'s result: total repos, with_deps, no_deps, packages."""
+    per = chosen.groupBy("id").agg(F.count_if("is_direct").alias("n"))
+    return per.agg(F.count("*").alias("total"), F.count_if(F.col("n") > 0).alias("with_deps"), F.count_if(F.col("n") == 0).alias("no_deps"), F.coalesce(F.sum("n"), F.lit(0)).alias("packages"))

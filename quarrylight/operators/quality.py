@@ -56,3 +56,31 @@ def verdict(rows: DataFrame, failed: DataFrame, least_tags: int = 100, least_enr
     one = rows.agg(F.coalesce(F.sum(F.greatest(F.size("tags"), F.lit(0))), F.lit(0)).alias("t"), F.count_if("is_enriched").alias("e"))
     totals = one.select(F.explode(F.array(F.struct(F.lit("tag_total").alias("check"), F.greatest(F.lit(least_tags) - F.col("t"), F.lit(0)).cast("long").alias("failed")), F.struct(F.lit("enriched_total").alias("check"), F.greatest(F.lit(least_enriched) - F.col("e"), F.lit(0)).cast("long").alias("failed")))).alias("s")).select("s.*")
     return reduce(DataFrame.unionByName, [listed, totals]).withColumn("passed", F.col("failed") == 0)
+
+
+def overall(verdicts: DataFrame) -> DataFrame:
+    """One row: passed (all checks did) and exit_code, 0 or 1; a probe that couldn't run ends with 2, which its caller sets."""
+    return verdicts.agg(F.coalesce(F.every("passed"), F.lit(True)).alias("passed")).withColumn("exit_code", F.when(F.col("passed"), 0).otherwise(1))
+
+
+def missing_dates(rows: DataFrame, *columns: str) -> DataFrame:
+    """Forks (column is_fork) that lack one of the dates."""
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    return rows.where(F.coalesce("is_fork", F.lit(False)) & missing)
+
+
+def orphans(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """Edges (source, target, ...) an end of which isn't among ids (column id)."""
+    known = ids.select("id").distinct()
+    both = edges.join(known.withColumnRenamed("id", "source"), "source", "left_semi").join(known.withColumnRenamed("id", "target"), "target", "left_semi")
+    return edges.join(both.select("source", "target").distinct(), ["source", "target"], "left_anti")
+
+
+def uncovered(ids: DataFrame, **parts: DataFrame) -> DataFrame:
+    """One row: repos, and for each part (column id) how many of ids (column id, unique) it lacks."""
+    rows = ids.select("id")
+    for name, part in parts.items():
+        rows = rows.join(part.where("id is not null").select("id").distinct().withColumn(f"_{name}", F.lit(True)), "id", "left")
+    return rows.agg(F.count("*").alias("repos"), *[F.count_if(F.col(f"_{name}").isNull()).alias(f"no_{name}") for name in parts])

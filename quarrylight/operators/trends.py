@@ -36,6 +36,28 @@ def gaps(counts: DataFrame, expected: DataFrame) -> DataFrame:
         "category",
         F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), F.col("_rank") + 1).alias("severity"),
         F.col("n").cast("long").alias("repo_count"),
+        # The texts of the two columns.
         F.format_string("Only %d repos in %s (expected %d+)", "n", "category", "expected").alias("description"),
         F.format_string("Add %d more repos covering %s", "short", "category").alias("suggestion"),
     )
+
+
+def snapshot(rows: DataFrame, as_of: Column, tags: int = 20, categories: int = 10) -> DataFrame:
+    """One row: captured_at, total_repos, active_repos, new_repos_last_30d, top_tags, top_categories, tag_counts, category_counts.
+
+    rows: id, tags array<string>, categories array<string>, updated. The maps hold every tag and category, so they grow
+    with the vocabulary, not with the rows; keep them as rows (frequencies()) where it has no bound. Ties by name.
+    """
+
+    def counted(column: str, n: int) -> tuple[Column, Column, DataFrame]:
+        counts = frequencies(rows.where(F.col(column).isNotNull()), column).where("item <> ''")
+        listed = counts.agg(F.collect_list(F.struct((-F.col("repos")).alias("n"), "item")).alias("l"))
+        ordered = F.transform(F.slice(F.array_sort("l"), 1, n), lambda x: x["item"])
+        return ordered.alias(f"top_{column}"), F.map_from_entries(F.transform("l", lambda x: F.struct(x["item"], -x["n"]))).alias(f"{column}_counts"), listed
+
+    top_tags, tag_counts, listed_tags = counted("tags", tags)
+    top_categories, category_counts, listed_categories = counted("categories", categories)
+    one = summary(rows, as_of).select(as_of.alias("captured_at"), F.col("total").alias("total_repos"), F.col("active").alias("active_repos"), F.col("new_last_30d").alias("new_repos_last_30d"))
+    first = listed_tags.select(top_tags, tag_counts.alias("tag_counts"))
+    second = listed_categories.select(top_categories, category_counts.alias("category_counts"))
+    return one.crossJoin(first).crossJoin(second)  # one row each

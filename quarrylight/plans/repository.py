@@ -141,22 +141,6 @@ def _problems(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "enrichment_result").groupBy(F.col("repo_id").alias("id")).agg(F.min("problem_solved").alias("problem"))
 
 
-@register("""
-WITH problems AS (SELECT repo_id AS id, min(problem_solved) AS problem FROM enrichment_result GROUP BY repo_id),
-grouped AS (
-    SELECT id, CASE WHEN contains(lower(problem), 'queries') OR contains(lower(problem), 'query') THEN 'query' WHEN contains(lower(problem), 'label') THEN 'label'
-        WHEN contains(lower(problem), 'commit') OR contains(lower(problem), 'branch') THEN 'commit'
-        WHEN contains(lower(problem), 'queue') OR contains(lower(problem), 'replica') OR contains(lower(problem), 'shard') THEN 'queue' END AS category
-    FROM problems
-),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY id) AS rn FROM grouped WHERE category IS NOT NULL)
-SELECT a.id AS source, b.id AS target, a.category, CAST(0.7 AS DOUBLE) AS weight, CAST(0.4 AS DOUBLE) AS confidence FROM ranked a JOIN ranked b ON a.category = b.category AND a.rn <= 30 AND a.id < b.id
-""")
-def alternative_keyword_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """The pairs that the first 30 ids of a group begin; alternative_keyword_classes has all."""
-    return edges.keyword_alternatives(_problems(spark, folder), GROUPS)
-
-
 @register("""
 WITH problems AS (SELECT repo_id AS id, min(problem_solved) AS problem FROM enrichment_result GROUP BY repo_id),
 grouped AS (
@@ -174,17 +158,23 @@ def alternative_keyword_classes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("""
-WITH idx AS (SELECT translate(lower(p_name), '-_', '') AS k, max(p_partkey) AS target FROM part GROUP BY 1),
-named AS (SELECT k, target FROM idx),
-lines AS (SELECT DISTINCT l_suppkey, p_name FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT l_suppkey AS source, target, min(p_name) AS package, 'pypi' AS ecosystem, CAST(1.0 AS DOUBLE) AS weight, CAST(0.95 AS DOUBLE) AS confidence
-FROM lines JOIN named ON k = translate(lower(p_name), '-_', '') WHERE l_suppkey <> target GROUP BY l_suppkey, target
+WITH hubs AS (SELECT id, replace(replace(lower(CASE WHEN contains(coalesce(nullif(forked_from, ''), name), '/') THEN split_part(coalesce(nullif(forked_from, ''), name), '/', 2) ELSE coalesce(nullif(forked_from, ''), name) END), '-', ''), '_', '') AS k FROM hub_repos),
+idx AS (SELECT k, max(id) AS target FROM hubs WHERE k <> '' GROUP BY k),
+deps AS (
+    SELECT DISTINCT lower(e.source_repo_id) AS source, h.name AS package FROM repo_edges e JOIN hub_repos h ON h.id = lower(e.target_repo_id)
+    WHERE e.edge_type = 'DEPENDS_ON' AND coalesce(e.confidence, 1) >= 0.5
+)
+SELECT source, target, min(package) AS package, 'pypi' AS ecosystem, CAST(1.0 AS DOUBLE) AS weight, CAST(0.95 AS DOUBLE) AS confidence
+FROM deps JOIN idx ON k = replace(replace(lower(package), '-', ''), '_', '') WHERE source <> target GROUP BY source, target
 """)
 def depends_on_edges(spark: SparkSession, folder: str) -> DataFrame:
-    part = table(spark, folder, "part").select("p_partkey", "p_name")
-    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_partkey").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    wanted = lines.select(F.col("l_suppkey").alias("id"), F.col("p_name").alias("package"), F.lit("pypi").alias("ecosystem"), F.lit(True).alias("is_direct")).distinct()
-    return edges.depends_on_edges(wanted, part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")))
+    """Declared packages are the names of the hubs that an edge says a repo depends on; doubtful ones count as indirect, and hubs declare nothing."""
+    hubs = table(spark, folder, "hub_repos").select("id", "name", "forked_from")
+    links = table(spark, folder, "repo_edges").where("edge_type = 'DEPENDS_ON'").select(F.lower("source_repo_id").alias("id"), F.lower("target_repo_id").alias("to"), "confidence")
+    names = links.join(hubs.select(F.col("id").alias("to"), F.col("name").alias("package")), "to")
+    wanted = names.select("id", "package", F.lit("pypi").alias("ecosystem"), (F.coalesce("confidence", F.lit(1)) >= 0.5).alias("is_direct")).distinct()
+    none = hubs.select("id", F.lit("__none__").alias("package"), F.lit("__sentinel__").alias("ecosystem"), F.lit(True).alias("is_direct"))
+    return edges.depends_on_edges(wanted.unionByName(none), hubs)
 
 
 @register(f"""
@@ -474,7 +464,8 @@ def coverage_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return trends.gaps(counts, spark.createDataFrame(EXPECTED, "ord int, category string, expected int"))
 
 
-_PROBE_SQL = """
+_MARKERS_SQL = " ".join("WHEN contains(lower(summary), '{0}') THEN '{1}'".format(m.lower().replace("'", "''"), m.replace("'", "''")) for m in quality.FAILURE_MARKERS)
+_PROBE_SQL = f"""
 rows AS (
     SELECT repo_id AS id, min(categories[1]) AS category, max_by(integration_tags, CAST(integration_tags AS VARCHAR)) AS tags, min(readme_summary) AS summary FROM enrichment_result GROUP BY repo_id
 ),
@@ -483,7 +474,7 @@ failed AS (
     SELECT id, 'category' AS "check", 'unknown category ' || category AS issue FROM rows WHERE category IS NOT NULL AND category NOT IN (SELECT entry FROM allowed)
     UNION ALL SELECT id, 'tags', CASE WHEN coalesce(len(tags), 0) < 1 THEN 'no tags' ELSE 'tag too long' END FROM rows WHERE coalesce(len(tags), 0) < 1 OR len(list_filter(tags, lambda t: length(t) > 50)) > 0
     UNION ALL SELECT id, 'summary', CASE WHEN summary IS NULL THEN 'no summary' WHEN length(summary) < 50 THEN 'too short' ELSE 'too long' END FROM rows WHERE summary IS NULL OR length(summary) < 50 OR length(summary) > 2000
-    UNION ALL SELECT id, 'refusal', 'I cannot' FROM rows WHERE contains(lower(summary), 'i cannot')
+    UNION ALL SELECT id, 'refusal', marker FROM (SELECT id, CASE {_MARKERS_SQL} END AS marker FROM rows) WHERE marker IS NOT NULL
 )"""
 
 

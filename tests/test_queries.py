@@ -3,7 +3,9 @@ import os
 import pytest
 from harness import DATA, compare
 
-from quarrylight.plans import repository
+from quarrylight.plans import pipeline, repository
+
+assert pipeline.QUERIES is repository.QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
