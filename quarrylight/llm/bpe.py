@@ -2,18 +2,20 @@
 
 A text is cut into pieces by the vocabulary's pattern, which needs a few characters of lookahead. Within a piece, the
 encoding of each prefix ends in one token, the only one that forms a stable pair with the token before it, so the
-encodings of all prefixes form a tree. What comes next can only begin at one of the last few positions; the tokens on
-the path to the common ancestor of these are stable and are emitted. How far behind the end that ancestor can be
-follows from the merge list and doesn't grow with the text.
+encodings of all prefixes form a tree. Tokens on the path to a prefix are stable once a lookahead stands behind them that
+follows from the merge list and doesn't grow with the text; then they are emitted.
 """
 
 from __future__ import annotations
 
 import base64
 import codecs
+import math
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,9 @@ from pyspark.sql import functions as F
 # Fixed value: the pattern that belongs to the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Bytes of a piece up to which it is merged as a whole, pieces remembered, characters a fed stream holds of an open piece.
-WHOLE, REMEMBERED, OPEN = 96, 200_000, 512
+#: Characters of a text fed at once, and of a piece whose ids are remembered; pieces and pairs remembered; characters a
+#: stream holds of an open piece before it feeds it on; bytes of a piece that is held as a whole, since that is little.
+PART, SHORT, REMEMBERED, OPEN, LOOKED = 1 << 16, 64, 500_000, 512, 1024
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -35,150 +38,167 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class BPE:
-    """The encoder of one vocabulary."""
+    """The encoder of one vocabulary: tokens by id, and of which two each is merged (parts[id] is None for a byte)."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int]] | None = None):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self.pattern = regex.compile(PATTERN)
-        self._pieces: dict[str, tuple[int, ...]] = {}
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.transduced = 0  # bytes that transducers took in
+        self.pieces = Pieces(self)
+        self._pairs: dict[int, bool] = {}
         self._lookahead: int | None = None
+        self.parts: dict[int, tuple[int, int]] = {} if parts is None else parts
+        if parts is None:
+            for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
+                for k in range(1, len(token)):
+                    left, right = ranks.get(token[:k]), ranks.get(token[k:])
+                    if left is not None and right is not None and left < rank > right and self._stays(left, right, rank):
+                        self.parts[rank] = left, right
+                        break
+
+    def _stays(self, left: int, right: int, below: float = math.inf) -> bool:
+        """Whether no merge of a rank under `below` joins something across the boundary of the two tokens.
 
-    def merged(self, piece: bytes, below: int | None = None) -> list[bytes]:
-        """The tokens of a short piece: of all neighbours the pair of the lowest rank is joined, again and again."""
-        parts = [piece[k : k + 1] for k in range(len(piece))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[k] + parts[k + 1], 1 << 60), k) for k in range(len(parts) - 1))
-            if rank == 1 << 60 or below is not None and rank >= below:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def stable(self, left: bytes, right: bytes) -> bool:
+        Going back in time, the later of the two tokens next to the boundary is taken apart. Two of them would have been
+        merged if their rank came before that at which either was taken up; of equal merges the left one comes first.
+        """
+        parts, ranks, tokens = self.parts, self.ranks, self.tokens
+        until_left = until_right = below
+        while True:
+            rank = ranks.get(tokens[left] + tokens[right])
+            if rank is not None and rank < until_left and rank <= until_right and rank < below:
+                return False
+            of_left, of_right = parts.get(left), parts.get(right)
+            if of_left is not None and (of_right is None or left > right):
+                until_left, left = left, of_left[1]
+            elif of_right is not None:
+                until_right, right = right, of_right[0]
+            else:
+                return True
+
+    def stable(self, left: int, right: int) -> bool:
         """Whether the two tokens stay as they are next to each other."""
-        known = self._pairs.get((left, right))
+        key = left << 32 | right
+        known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= REMEMBERED:
                 self._pairs.clear()
-            known = self._pairs[left, right] = self.merged(left + right) == [left, right]
+            known = self._pairs[key] = self._stays(left, right)
         return known
 
     @property
     def lookahead(self) -> int:
-        """Bytes after which no merge can reach back to a boundary.
+        """The most bytes held back: a token, and the bytes behind it after which no merge can reach back to a boundary.
 
         Whether a boundary u|v is merged depends on what stands right of it only if an earlier merge takes away the
         right end of v, that is, if its left part ends v; whether that merge happens depends on its own right part in
         turn. The longest such sequence of ever earlier merges, with the lengths of the parts, bounds the reach.
         """
         if self._lookahead is None:
-            parts = {}
-            for token, rank in sorted(self.ranks.items(), key=lambda x: x[1]):
-                if len(token) > 1 and len(split := self.merged(token, rank)) == 2:
-                    parts[token] = split
-            reach: dict[bytes, tuple[list[int], list[int]]] = {}
+            reach: dict[int, tuple[list[int], list[int]]] = {}
             most = 0
-            for token, (left, right) in parts.items():
-                rank, end, far = self.ranks[token], right, 0
+            for token, (left, right) in sorted(self.parts.items()):
+                end, far = right, 0
                 while True:
-                    if end in reach and (k := bisect_left(reach[end][0], rank)):
+                    if end in reach and (k := bisect_left(reach[end][0], token)):
                         far = max(far, reach[end][1][k - 1])
-                    if end not in parts:
+                    if end not in self.parts:
                         break
-                    end = parts[end][1]
+                    end = self.parts[end][1]
                 ranks, fars = reach.setdefault(left, ([], []))
-                ranks.append(rank)
-                fars.append(max(len(right) + far, fars[-1] if fars else 0))
-                most = max(most, len(right) + far)
+                ranks.append(token)
+                fars.append(max(len(self.tokens[right]) + far, fars[-1] if fars else 0))
+                most = max(most, len(self.tokens[right]) + far)
             self._lookahead = most + self.longest
         return self._lookahead
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        known = self._pieces.get(text)
-        if known is None:
-            data = text.encode()
-            if len(data) > WHOLE:
-                run = Transducer(self)
-                return tuple([*run.feed(data), *run.finish()])
-            if len(self._pieces) >= REMEMBERED:
-                self._pieces.clear()
-            known = self._pieces[text] = (self.ranks[data],) if data in self.ranks else tuple(self.ranks[t] for t in self.merged(data))
-        return known
-
-    def encode(self, text: str) -> array:
-        """The ids of a text; only they and a bounded number of pieces are held."""
-        out, known = array("i"), self._pieces
-        if len(text) < 100_000:
-            for piece in self.pattern.findall(text):
-                out.extend(known.get(piece) or self.piece(piece))
-        else:
-            for m in self.pattern.finditer(text):
-                out.extend(self.piece(m.group()))
+    def encode(self, text: str, part: int = PART) -> array:
+        """The ids of a text, which is fed in parts; only they, a part and a bounded number of pieces are held."""
+        run, out = StreamEncoder(self), array("i")
+        for k in range(0, len(text) - part, part):
+            out.extend(run.feed(text[k : k + part]))
+        k = max(0, (len(text) - 1) // part) * part
+        out.extend(run.finish(text[k:]))
         return out
 
 
+class Pieces(dict):
+    """What the transducer makes of each piece; that of short ones is remembered."""
+
+    def __init__(self, bpe: BPE):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, text: str) -> list[int]:
+        run = Transducer(self.bpe)
+        ids = [*run.feed(text.encode()), *run.finish()]
+        if len(text) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class Transducer:
-    """Encodes one piece of any length, fed in parts of bytes."""
+    """Encodes one piece of any length, fed in parts of bytes; a token is emitted once no further byte can change it."""
 
     def __init__(self, bpe: BPE):
         self.bpe = bpe
-        self.data = bytearray()  # from the last emitted boundary on
+        self.data = b""  # from the last emitted boundary on
         self.start = [0]  # of each prefix of data, where its last token begins
+        self.last = [-1]  # and which it is; of the empty prefix, the token emitted last
         self.behind = 0  # the most bytes held after an emission
 
-    def _extend(self) -> None:
-        """The last token of the next longer prefix."""
-        end = len(self.start)
-        for begin in range(max(0, end - self.bpe.longest), end):
-            token = bytes(self.data[begin:end])
-            if token in self.bpe.ranks and (begin == 0 and self._first(token) or begin and self.bpe.stable(bytes(self.data[self.start[begin] : begin]), token)):
-                self.start.append(begin)
-                return
-        raise ValueError("a byte isn't in the vocabulary")
-
-    def _first(self, token: bytes) -> bool:
-        return self.before is None or self.bpe.stable(self.before, token)
-
-    before: bytes | None = None  # the token emitted last
+    def _extend(self, data: bytes) -> None:
+        """The last tokens of the prefixes that data adds."""
+        bpe, start, last = self.bpe, self.start, self.last
+        ranks, stays, longest = bpe.ranks, bpe.stable, bpe.longest
+        begun = len(self.data)
+        self.data += data
+        held = self.data
+        for end in range(begun + 1, len(held) + 1):
+            for begin in range(max(0, end - longest), end):
+                token = ranks.get(held[begin:end])
+                if token is not None and (last[begin] < 0 or stays(last[begin], token)):
+                    start.append(begin)
+                    last.append(token)
+                    break
+            else:
+                raise ValueError("a byte isn't in the vocabulary")
 
     def _path(self, end: int) -> list[int]:
         ids = []
         while end:
-            ids.append(self.bpe.ranks[bytes(self.data[self.start[end] : end])])
+            ids.append(self.last[end])
             end = self.start[end]
         return ids[::-1]
 
-    def _emit(self) -> list[int]:
-        end = len(self.data)
-        ends = {k for k in range(max(0, end + 1 - self.bpe.longest), end + 1)}
-        while len(ends) > 1:
-            last = max(ends)
-            ends.remove(last)
-            ends.add(self.start[last])
-        ids, cut = self._path(at := ends.pop()), at
-        if cut:
-            self.before = bytes(self.data[self.start[cut] : cut])
-            del self.data[:cut]
-            self.start = [0] + [s - cut for s in self.start[cut + 1 :]]
-        self.behind = max(self.behind, len(self.data))
-        return ids
-
     def feed(self, data: bytes) -> list[int]:
-        """The ids that are stable by now."""
-        ids, step = [], self.bpe.longest
+        """The ids that are stable by now: those behind which no merge can reach back."""
+        self.bpe.transduced += len(data)
+        if len(self.data) + len(data) <= 2 * LOOKED:
+            self._extend(data)
+            return []
+        ids, reach = [], self.bpe.lookahead - self.bpe.longest
+        step = max(LOOKED, reach)
         for k in range(0, len(data), step):
-            part = data[k : k + step]
-            self.data += part
-            for _ in part:
-                self._extend()
-            ids += self._emit()
+            self._extend(data[k : k + step])
+            cut = len(self.data)
+            while cut > len(self.data) - reach and cut:
+                cut = self.start[cut]
+            if cut:
+                ids += self._path(cut)
+                self.data = self.data[cut:]
+                self.start = [0] + [s - cut for s in self.start[cut + 1 :]]
+                self.last = self.last[cut:]
+            self.behind = max(self.behind, len(self.data))
         return ids
 
     def finish(self) -> list[int]:
         ids = self._path(len(self.data))
-        self.data, self.start, self.before = bytearray(), [0], None
+        self.data, self.start, self.last = b"", [0], [-1]
         return ids
 
 
@@ -196,7 +216,8 @@ class StreamEncoder:
         self.text += part
         return self._go(False)
 
-    def finish(self) -> list[int]:
+    def finish(self, part: str = "") -> list[int]:
+        self.text += part
         return self._go(True)
 
     def _go(self, last: bool) -> list[int]:
@@ -212,13 +233,12 @@ class StreamEncoder:
                     return ids
                 ids += self.run.finish()
                 self.run = None
-            at = 0
-            for m in self.bpe.pattern.finditer(self.text):
-                if not last and m.end() > len(self.text) - 3:  # more text might lengthen it
-                    break
-                ids += self.bpe.piece(m.group())
-                at = m.end()
-            self.text = self.text[at:]
+            pieces = self.bpe.pattern.findall(self.text)
+            open_ = 0
+            while not last and pieces and open_ < 3:  # more text might change what is so near the end
+                open_ += len(pieces.pop())
+            ids.extend(chain.from_iterable(map(self.bpe.pieces.__getitem__, pieces)))
+            self.text = self.text[len(self.text) - open_ :] if open_ else ""
             if last or len(self.text) < OPEN:
                 return ids
             self.kind = next(k for k, x in enumerate(self.RUNS) if x.match(self.text))
@@ -241,9 +261,16 @@ class StreamDecoder:
         return self.state.decode(b"", final=True)
 
 
-def _encode(ranks):
+@lru_cache(maxsize=4)
+def vocabulary(path: str) -> tuple[dict[bytes, int], dict[int, tuple[int, int]]]:
+    """Ranks and parts of a rank file, which an encoder is made of."""
+    bpe = BPE(load_ranks(path))
+    return bpe.ranks, bpe.parts
+
+
+def _encode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = BPE(ranks.value)
+        bpe = BPE(*shared.value)
         for batch in batches:
             flat, ends = array("i"), [0]
             texts = batch.column(1)
@@ -265,13 +292,13 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     list. Strings that look like special tokens are ordinary text. path names a rank file, read once on the driver; its
     tokens (some 50,000, as many for any corpus) are broadcast.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
-    return docs.select(F.col("doc").cast("long").alias("doc"), "text").mapInArrow(_encode(ranks), "doc long, ids array<int>")
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
+    return docs.select(F.col("doc").cast("long").alias("doc"), "text").mapInArrow(_encode(shared), "doc long, ids array<int>")
 
 
-def _decode(ranks):
+def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = BPE(ranks.value)
+        bpe = BPE(*shared.value)
         for batch in batches:
             texts = []
             for ids in batch.column(1).to_pylist():
@@ -284,5 +311,5 @@ def _decode(ranks):
 
 def decoded(docs: DataFrame, path: str) -> DataFrame:
     """doc and text of doc long, ids array<int>: the way back; null ids give a null text."""
-    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
-    return docs.select(F.col("doc").cast("long").alias("doc"), "ids").mapInArrow(_decode(ranks), "doc long, text string")
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
+    return docs.select(F.col("doc").cast("long").alias("doc"), "ids").mapInArrow(_decode(shared), "doc long, text string")

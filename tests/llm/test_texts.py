@@ -55,6 +55,29 @@ def test_memory_is_bounded_by_the_lookahead(vocabulary, library):
         assert run.behind <= vocabulary.lookahead
 
 
+def test_all_bytes_go_through_the_transducer(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 0)
+    monkeypatch.setattr(bpe, "SHORT", -1)
+    own = bpe.BPE(vocabulary.ranks, vocabulary.parts)
+    rng = random.Random(4)
+    for text in [*TEXTS, *[noise(rng, 2000) for _ in range(10)]]:
+        before = own.transduced
+        assert own.encode(text, part=rng.choice([10, 100, 1000])).tolist() == library.encode_ordinary(text)
+        assert own.transduced - before == len(text.encode())
+
+
+def test_parts_are_what_merging_makes(vocabulary):
+    def merged(token):
+        left = [token[k : k + 1] for k in range(len(token))]
+        while len(left) > 2:
+            _, k = min((vocabulary.ranks.get(left[k] + left[k + 1], 1 << 60), k) for k in range(len(left) - 1))
+            left[k : k + 2] = [left[k] + left[k + 1]]
+        return tuple(vocabulary.ranks[x] for x in left)
+
+    for rank in random.Random(5).sample(sorted(vocabulary.parts), 2000):
+        assert vocabulary.parts[rank] == merged(vocabulary.tokens[rank])
+
+
 def test_decoding_byte_by_byte(vocabulary):
     for text in TEXTS:
         decoder = bpe.StreamDecoder(vocabulary)
