@@ -1,4 +1,9 @@
-"""Free-entered values mapped to a reference list: a BK-tree over its names under the edit distance, broadcast or sharded."""
+"""Free-entered values mapped to a reference list: BK-trees over its names under the edit distance, broadcast or sharded.
+
+Words that people put before or after a name without changing what it stands for are learnt: a phrase that stands next
+to the whole names of several entries, each of two words or more, qualifies names. A name of one word teaches nothing,
+since sharing that word with a name isn't enough.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +20,8 @@ from quarrylight.storage import materialize
 
 #: Names of the reference list that every task holds as one tree; more are split into shards of about so many.
 SHARD = 20_000
-#: Distinct values matched against one shard in one task, where there are shards, and mappings that may be broadcast.
-SLICE, BROADCAST_MAPPINGS = 50_000, 500_000
+#: Distinct values matched in one task, against one shard in one task where there are shards, and mappings that may be broadcast.
+TASK, SLICE, BROADCAST_MAPPINGS = 1000, 50_000, 500_000
 
 # Letters of other scripts that look like a Latin letter.
 LOOKALIKES = str.maketrans({
@@ -24,10 +29,10 @@ LOOKALIKES = str.maketrans({
     "α": "a", "β": "b", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
 })
 
-# Words that qualify a name without changing what it stands for, before it, after it, or within it.
-BEFORE = ("ai for", "general", "advanced", "applied", "basic", "modern", "other", "the", "various")
-AFTER = ("and similar", "similar", "basic", "general", "advanced", "domain", "techniques", "technique", "area", "field", "sector", "topics", "related", "etc", "others", "other")
+# Words that join a name's words and may come or go when it is turned round.
 WITHIN = ("of", "and", "the")
+#: Entries next to whose names a phrase must stand to be a qualifier, and words it has at most.
+TAUGHT, PHRASE = 3, 2
 
 
 def folded(text: str) -> str:
@@ -43,22 +48,19 @@ def words_of(text: str) -> list[str]:
     return words[1:] if len(words) > 1 and words[0].isdigit() and len(words[0]) < 3 else words
 
 
-def plain_forms(words: list[str]) -> list[list[str]]:
-    """The words, and what is left of them without qualifiers; the words as they stand come first."""
+def plain_forms(words: list[str], qualifiers: frozenset[str] | set[str]) -> list[list[str]]:
+    """The words, and what is left of them as one qualifier after another goes; a qualifier is `phrase ...` or `... phrase`."""
     forms, now = [words], words
     while True:
-        text = " ".join(now)
-        for q in BEFORE:
-            if text.startswith(f"{q} "):
-                now = now[q.count(" ") + 1 :]
+        for n in range(min(PHRASE, len(now) - 1), 0, -1):
+            if f"{' '.join(now[:n])} ..." in qualifiers:
+                now = now[n:]
+                break
+            if f"... {' '.join(now[-n:])}" in qualifiers:
+                now = now[:-n]
                 break
         else:
-            for q in AFTER:
-                if text.endswith(f" {q}"):
-                    now = now[: -q.count(" ") - 1]
-                    break
-            else:
-                return forms
+            return forms
         forms.append(now)
 
 
@@ -145,45 +147,47 @@ class Matcher:
     def __init__(self, names: list[tuple[int, str]], own: frozenset[str] = frozenset()):
         self.own = own
         self.words: dict[str, set[str]] = defaultdict(set)
-        self.close: dict[str, int] = {}
-        self.ordered: dict[str, int] = {}
-        self.cut: dict[str, int] = {}
+        self.entry: tuple[dict[str, int], ...] = ({}, {}, {})  # of names as they are, in any order, and cut short
         for entry, name in sorted(names):
             words = words_of(name)
             if not words:
                 continue
-            self.close.setdefault("".join(words), entry)
-            self.words["".join(words)] |= set(words)
-            self.ordered.setdefault(_in_any_order(words), entry)
+            key = "".join(words)
+            self.entry[0].setdefault(key, entry)
+            self.words[key] |= set(words)
+            self.entry[1].setdefault(_in_any_order(words), entry)
             for n in range(2 if len(words) > 1 else 4, len(words[-1])):
-                self.cut.setdefault("".join([*words[:-1], words[-1][:n]]), entry)
-        self.tree = BKTree(sorted(self.close))
+                self.entry[2].setdefault("".join([*words[:-1], words[-1][:n]]), entry)
+        self.trees = tuple(BKTree(sorted(x)) for x in self.entry)
 
-    def __call__(self, value: str) -> tuple[int, int, list[str]] | None:
+    def __call__(self, value: str, qualifiers: frozenset[str] | set[str] = frozenset()) -> tuple[int, int, list[str]] | None:
         """(distance, entry, lacking) of the nearest entry, the smaller entry of several; None if none is near enough.
 
-        A value whose words are a name's, in its order or another, is at 0, with qualifiers at 1, cut short before a
-        full stop at 2; one with typing errors at 3 and their number (plus 10 with qualifiers), and lacking are its
-        words that the name lacks. An own word that the name lacks isn't taken for a typing error.
+        A value whose words are a name's is at 0, in another order at 1, and 2 more for each qualifier (6 at most); one
+        cut short before a full stop at 8; one with typing errors at 10 and their number (plus 20 with qualifiers), and
+        lacking are its words that the name lacks. An own word that the name lacks isn't taken for a typing error. The
+        distance carries all preferences, so of several parts of the names the least answer is that of the whole.
         """
-        forms = plain_forms(words_of(value))
+        forms = plain_forms(words_of(value), qualifiers)
         for k, words in enumerate(forms):
-            for key, known in (("".join(words), self.close), (_in_any_order(words), self.ordered)):
-                if key in known:
-                    return min(k, 1), known[key], []
-        if value.rstrip().endswith((".", "…")) and "".join(forms[0]) in self.cut:
-            return 2, self.cut["".join(forms[0])], []
+            for turned, key in enumerate(("".join(words), _in_any_order(words))):
+                for name in self.trees[turned].within(key, 0):
+                    return 2 * min(k, 3) + turned, self.entry[turned][name], []
+        if value.rstrip().endswith((".", "…")):
+            for name in self.trees[2].within("".join(forms[0]), 0):
+                return 8, self.entry[2][name], []
         best = None
         for k, words in enumerate(forms):
             key = "".join(words)
             allowed = edits_allowed(len(key))
-            for name in self.tree.within(key, 2 * allowed) if allowed else ():  # a swap is two of the metric's edits
+            for name in self.trees[0].within(key, 2 * allowed) if allowed else ():  # a swap is two of the metric's edits
                 d = typing_distance(key, name)
                 lacking = sorted(set(words) - self.words[name])
                 if not self.own.isdisjoint(lacking):
                     continue
                 if d <= min(allowed, edits_allowed(len(name))):
-                    best = min(best or (99, 0, []), (3 + d + 10 * (k > 0), self.close[name], lacking))
+                    found = (10 + d + 20 * (k > 0), self.entry[0][name], lacking)
+                    best = min(best, found) if best else found
         return best
 
 
@@ -194,9 +198,48 @@ def _matchers(rows: list[tuple[str, int, str]], own: dict[str, frozenset[str]])
     return {field: Matcher(x, own.get(field, frozenset())) for field, x in names.items()}
 
 
-def _table(fields: list[str], values: list[str], matchers: dict[str, Matcher]) -> pa.Table:
-    found = [(m(v) if (m := matchers.get(f)) else None) or (None, None, None) for f, v in zip(fields, values)]
-    return pa.table({"field": pa.array(fields, pa.string()), "value": pa.array(values, pa.string()), "distance": pa.array([d for d, _, _ in found], pa.int32()), "entry": pa.array([e for _, e, _ in found], pa.int64()), "lacking": pa.array([x for _, _, x in found], pa.list_(pa.string()))})
+def _table(fields: list[str], values: list[str], peels: list[list[str]], matchers: dict[str, Matcher]) -> pa.Table:
+    found = [(m(v, set(q or ())) if (m := matchers.get(f)) else None) or (None, None, None) for f, v, q in zip(fields, values, peels)]
+    columns = {"field": pa.array(fields, pa.string()), "value": pa.array(values, pa.string()), "peels": pa.array(peels, pa.list_(pa.string()))}
+    return pa.table(columns | {"distance": pa.array([d for d, _, _ in found], pa.int32()), "entry": pa.array([e for _, e, _ in found], pa.int64()), "lacking": pa.array([x for _, _, x in found], pa.list_(pa.string()))})
+
+
+def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """field, value to phrases at its ends: field, value, phrase, and rest, the key of two words or more that stands next to it."""
+    for batch in batches:
+        flat = set()
+        for field, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words = words_of(value)
+            for n in range(1, PHRASE + 1):
+                for at in range(min(len(words) - n, 2 * PHRASE)):
+                    rest = words[n:] if not at and len(words) - n > 1 else None
+                    flat.add((field, value, f"{' '.join(words[at : at + n])} ...", rest and "".join(rest)))
+                    end = len(words) - at
+                    rest = words[:-n] if not at and len(words) - n > 1 else None
+                    flat.add((field, value, f"... {' '.join(words[end - n : end])}", rest and "".join(rest)))
+        rows = zip(*flat) if flat else ([],) * 4
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in rows], names=["field", "value", "phrase", "rest"])
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """field, entry, name to the key of each name of two words or more: field, entry, rest."""
+    for batch in batches:
+        rows = [(f, e, "".join(w)) for f, e, n in zip(*(c.to_pylist() for c in batch.columns)) if len(w := words_of(n)) > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else ([],) * 3, (pa.string(), pa.int64(), pa.string()))], names=["field", "entry", "rest"])
+
+
+def with_qualifiers(distinct: DataFrame, names: DataFrame) -> DataFrame:
+    """distinct (field, value) with peels: those of the qualifiers that all values teach which stand near the value's ends.
+
+    A phrase of one or two words is a qualifier if values put it right before, or right after, whole names of at least
+    TAUGHT entries of any fields. It is joined to the values that hold it, so no list of them is sent anywhere.
+    """
+    phrases = materialize(distinct.mapInArrow(_phrases, "field string, value string, phrase string, rest string"), "phrases")
+    keys = names.select("field", "entry", "name").mapInArrow(_keys, "field string, entry long, rest string").distinct()
+    beside = phrases.where("rest is not null").join(keys, ["field", "rest"]).select("phrase", "field", "entry").distinct()
+    learnt = beside.groupBy("phrase").agg(F.count("*").alias("n")).where(F.col("n") >= TAUGHT).select("phrase")
+    held = phrases.select("field", "value", "phrase").distinct().join(learnt, "phrase").groupBy("field", "value").agg(F.collect_set("phrase").alias("peels"))  # of one value: some 4 * PHRASE ** 2 at most
+    return distinct.join(held, ["field", "value"], "left")
 
 
 #: Distinct companions in values that stand for no name from which on a word is one of its own.
@@ -204,11 +247,11 @@ COMPANIONS = 5
 
 
 def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """field, value, distance to the distinct words of each value, with the other words it has there, and whether the value was taken for a name with typing errors."""
+    """field, value, peels, distance to the distinct words of each value, with the other words it has there, and whether the value was taken for a name with typing errors."""
     for batch in batches:
         flat = []
-        for field, value, distance in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            words = {w for w in plain_forms(words_of(value))[-1] if w not in WITHIN and not w.isdigit()}
+        for field, value, peels, distance in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            words = {w for w in plain_forms(words_of(value), set(peels or ()))[-1] if w not in WITHIN and not w.isdigit()}
             flat += [(field, w, " ".join(sorted(words - {w})), distance is not None) for w in sorted(words)]
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*flat) if flat else ([],) * 4, (pa.string(), pa.string(), pa.string(), pa.bool_()))], names=["field", "word", "companion", "typed"])
 
@@ -221,7 +264,7 @@ def _name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def own_words(found: DataFrame, names: DataFrame) -> dict[str, frozenset[str]]:
-    """By field, the words that are no typing errors, of those that a value's name lacks (found: field, value, distance, lacking).
+    """By field, the words that are no typing errors, of those that a value's name lacks (found: field, value, peels, distance, lacking).
 
     These are the words of the field's names, and those which values that stand for no name use with at least COMPANIONS
     different other words, and with more than do the values taken for a name with typing errors. What counts are
@@ -229,7 +272,7 @@ def own_words(found: DataFrame, names: DataFrame) -> dict[str, frozenset[str]]:
     are; a misspelling occurs where the right word does, in values taken for names.
     """
     asked = found.select("field", F.explode("lacking").alias("word")).distinct()
-    uses = found.where("distance is null or distance > 2").select("field", "value", "distance").mapInArrow(_uses, "field string, word string, companion string, typed boolean")
+    uses = found.where("distance is null or distance >= 10").select("field", "value", "peels", "distance").mapInArrow(_uses, "field string, word string, companion string, typed boolean")
     uses = uses.join(asked, ["field", "word"], "left_semi").groupBy("field", "word", "companion").agg(F.max("typed").alias("typed"))
     alone, typed = F.count_if(~F.col("typed")), F.count_if("typed")
     used = uses.groupBy("field", "word").agg(alone.alias("alone"), typed.alias("typed")).where((F.col("alone") >= COMPANIONS) & (F.col("alone") > F.col("typed"))).select("field", "word")
@@ -244,7 +287,7 @@ def _match_all(rows: list[tuple[str, int, str]], own: dict[str, frozenset[str]])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matchers = _matchers(rows, own)
         for batch in batches:
-            yield from _table(batch.column(0).to_pylist(), batch.column(1).to_pylist(), matchers).to_batches()
+            yield from _table(*(batch.column(k).to_pylist() for k in range(3)), matchers).to_batches()
 
     return run
 
@@ -252,23 +295,24 @@ def _match_all(rows: list[tuple[str, int, str]], own: dict[str, frozenset[str]])
 def _match_shard(own: dict[str, frozenset[str]]):
     def run(values: pa.Table, names: pa.Table) -> pa.Table:
         rows = list(zip(*(names.column(c).to_pylist() for c in ("field", "entry", "name"))))
-        return _table(values.column("field").to_pylist(), values.column("value").to_pylist(), _matchers(rows, own))
+        return _table(*(values.column(c).to_pylist() for c in ("field", "value", "peels")), _matchers(rows, own))
 
     return run
 
 
 def _nearest(distinct: DataFrame, names: DataFrame, own: dict[str, frozenset[str]], shard: int, slice_rows: int) -> DataFrame:
-    """field, value, distance, entry, lacking of each value, all three null where it stands for no name."""
-    schema, count = "field string, value string, distance int, entry long, lacking array<string>", names.count()
+    """field, value, peels, distance, entry, lacking of each value, the last three null where it stands for no name."""
+    schema, count, values = "field string, value string, peels array<string>, distance int, entry long, lacking array<string>", names.count(), distinct.count()
     if count <= shard:
         rows = [(r["field"], r["entry"], r["name"]) for r in names.select("field", "entry", "name").collect()]
-        return distinct.mapInArrow(_match_all(rows, own), schema)
+        return distinct.select("field", "value", "peels").repartition(max(1, -(-values // TASK))).mapInArrow(_match_all(rows, own), schema)
     shards = -(-count // shard)
-    slices = max(1, -(-distinct.count() // slice_rows))
+    slices = max(1, -(-values // slice_rows))
     left = distinct.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(slices)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     right = names.select("field", "entry", "name").withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     found = left.groupBy("shard", "slice").cogroup(right.groupBy("shard", "slice")).applyInArrow(_match_shard(own), schema)
-    return found.groupBy("field", "value").agg(F.min(F.when(F.col("entry").isNotNull(), F.struct("distance", "entry", "lacking"))).alias("best")).select("field", "value", "best.*")
+    best = F.min(F.when(F.col("entry").isNotNull(), F.struct("distance", "entry", "lacking"))).alias("best")
+    return found.groupBy("field", "value").agg(F.first("peels").alias("peels"), best).select("field", "value", "peels", "best.*")
 
 
 def mapped(values: DataFrame, reference: DataFrame, shard: int = SHARD, slice_rows: int = SLICE) -> DataFrame:
@@ -277,8 +321,9 @@ def mapped(values: DataFrame, reference: DataFrame, shard: int = SHARD, slice_ro
     values: key, field string, value string; reference: field string, entry long, name string (an entry may have several
     names). Null and blank values, and those that are a name of the field as it stands under which `main` is true, are
     left out; null names are ignored. A value is compared in the field it is of. What is compared are letters and digits
-    without case, accents, look-alike letters and qualifiers; see Matcher for what is near enough. Of entries equally
-    near the smallest wins. An empty reference maps all to 0.
+    without case, accents, look-alike letters and qualifiers, which are learnt from all values (with_qualifiers()); see
+    Matcher for what is near enough. Of entries equally near the smallest wins. An empty reference maps all to 0. Runs
+    jobs and writes to the shared folder when called.
     """
     spark = values.sparkSession
     names = materialize(reference.where("name is not null and entry is not null").select("field", "entry", "name", "main").distinct(), "names")
@@ -286,13 +331,14 @@ def mapped(values: DataFrame, reference: DataFrame, shard: int = SHARD, slice_ro
     exact = names.where("main").select("field", F.col("name").alias("value")).distinct()
     own = values.where(F.col("key").isNotNull() & F.col("value").rlike(r"(?U)\S")).select("key", "field", "value").distinct()
     own = own.join(F.broadcast(exact) if count <= BROADCAST_MAPPINGS else exact, ["field", "value"], "left_anti")
-    distinct = materialize(own.select("field", "value").distinct(), "distinct")
+    distinct = own.select("field", "value").distinct()
+    distinct = materialize(with_qualifiers(materialize(distinct, "distinct"), names), "qualified")
     found = materialize(_nearest(distinct, names, {}, shard, slice_rows), "nearest")
     own_by_field = own_words(found, names)
     if own_by_field:
         words = spark.createDataFrame([(f, sorted(w)) for f, w in own_by_field.items()], "field string, own array<string>")
         again = found.join(F.broadcast(words), "field", "left").withColumn("again", F.coalesce(F.arrays_overlap("lacking", "own"), F.lit(False)))
-        doubted = materialize(again.where("again").select("field", "value"), "doubted")
+        doubted = materialize(again.where("again").select("field", "value", "peels"), "doubted")
         found = again.where("not again").select("field", "value", "entry").unionByName(_nearest(doubted, names, own_by_field, shard, slice_rows).select("field", "value", "entry"))
     found = materialize(found.select("field", "value", F.coalesce("entry", F.lit(0)).cast("long").alias("entry")), "mapping")
     found = F.broadcast(found) if found.count() <= BROADCAST_MAPPINGS else found

@@ -92,7 +92,9 @@ def test_no_baskets(spark):
     assert together(spark.createDataFrame([], "grp int, key string, items array<string>")).count() == 0
 
 
-REFERENCE = [("f", 1, "Sensor Calibration", True), ("f", 1, "Gauge Trimming", False), ("f", 4, "Privacy Budget Accounting", True), ("f", 4, "PBA", False), ("f", 7, "Forestry", True), ("g", 9, "Forestry", True), ("f", 8, None, False)]
+TAUGHT = [("t", 21, "Wind Energy", True), ("t", 22, "Ceramic Tiles", True), ("t", 23, "Space Launch", True)]
+TEACHING = {f"{a}{n}{b}": e for _, e, n, _ in TAUGHT for a, b in (("AI for ", ""), ("", " & similar"))}
+REFERENCE = [*TAUGHT, ("f", 1, "Sensor Calibration", True), ("f", 1, "Gauge Trimming", False), ("f", 4, "Privacy Budget Accounting", True), ("f", 4, "PBA", False), ("f", 7, "Forestry", True), ("g", 9, "Forestry", True), ("f", 8, None, False)]
 VALUES = {
     "SENSOR CALIBRATION": 1, "Ｓｅｎｓｏｒ Ｃａｌｉｂｒａｔｉｏｎ": 1, "Sensоr Cálibration": 1, "Sen​sor Calibration 🚀": 1, "calibration of sensor": 1, "Calibration, Sensor": 1,
     "SensorCalibration": 1, "sensor_calibration": 1, "Sensor Calibratoin": 1, "1. Sensor Calibration": 1, "AI for Sensor Calibration": 1, "Sensor Calibration & similar": 1, "Sensor Calibrat.": 1,
@@ -103,10 +105,29 @@ VALUES = {
 @pytest.mark.parametrize("shard", [100, 1])
 def test_mapping(spark, shard):
     reference = spark.createDataFrame(REFERENCE, "field string, entry long, name string, main boolean")
-    data = [("r1", "f", v) for v in VALUES] + [("r1", "f", None), ("r1", "f", " \t"), ("r1", "f", "Forestry"), ("r2", "g", "FORESTRY"), ("r2", "h", "Forestry"), (None, "f", "x"), ("r1", "f", "n/a")]
+    data = [("r1", "f", v) for v in VALUES] + [("r1", "f", None), ("r1", "f", " \t"), ("r1", "f", "Forestry"), ("r2", "g", "FORESTRY"), ("r2", "h", "Forestry"), (None, "f", "x"), ("r1", "f", "n/a")] + [("r3", "t", v) for v in TEACHING]
     values = spark.createDataFrame(data, "key string, field string, value string").withColumn("entry", F.lit("clash")).withColumn("distance", F.lit(0))
     got = rows(mapped(values, reference, shard=shard, slice_rows=5))
-    assert got == sorted([("r1", "f", v, e) for v, e in VALUES.items()] + [("r2", "g", "FORESTRY", 9), ("r2", "h", "Forestry", 0)], key=repr)
+    assert got == sorted([("r1", "f", v, e) for v, e in VALUES.items()] + [("r2", "g", "FORESTRY", 9), ("r2", "h", "Forestry", 0)] + [("r3", "t", v, e) for v, e in TEACHING.items()], key=repr)
+
+
+def test_qualifiers_are_learnt_from_whole_names(spark):
+    reference = spark.createDataFrame([*TAUGHT, *(("t", k, w, True) for k, w in ((31, "Forestry"), (32, "Courseware"), (33, "Scorecards")))], "field string, entry long, name string, main boolean")
+    taught = {f"Modern {n} Practice": e for _, e, n, _ in TAUGHT} | {f"Modern {n}": e for _, e, n, _ in TAUGHT} | {f"{n} Practice": e for _, e, n, _ in TAUGHT}
+    want = taught | {"modern forestry": 31, "Modern Wnid Energy practice": 21, "Old Wind Energy": 0, "Old Ceramic Tiles": 0}  # two entries teach nothing
+    want |= dict.fromkeys(("Forestry Racing", "Courseware Racing", "Scorecards Racing", "Practice Modern"), 0)  # nor do names of one word
+    values = spark.createDataFrame([("r", "t", v) for v in want], "key string, field string, value string")
+    assert {r["value"]: r["entry"] for r in mapped(values, reference).collect()} == want
+
+
+def test_whole_and_sharded_agree(spark):
+    rng = random.Random(9)
+    words = ["vision", "computer", "data", "graph", "energy", "wind", "model", "tile"]
+    names = sorted({" ".join(rng.sample(words, rng.randrange(1, 4))) for _ in range(40)}) + ["Vision Computer", "Computer Vision"]
+    reference = spark.createDataFrame([("f", k, n, True) for k, n in enumerate(names, 1)], "field string, entry long, name string, main boolean")
+    values = {"computer  VISION"} | {"".join(c for c in (rng.choice(["AI ", "", "other "]) + " ".join(rng.sample(words, rng.randrange(1, 4))) + rng.choice(["", ".", " stuff"])) if rng.random() > 0.05) for _ in range(300)}
+    df = spark.createDataFrame([("r", "f", v) for v in sorted(values)], "key string, field string, value string")
+    assert rows(mapped(df, reference, shard=10, slice_rows=50)) == rows(mapped(df, reference))
 
 
 @pytest.mark.parametrize("shard", [100, 1])
@@ -124,6 +145,7 @@ def test_a_frequent_misspelling_is_a_typing_error(spark, shard):
     names = ["Crawl Pipelines", *(f"Crawl {w}" for w in ("Budget", "Frontier", "Scheduling", "Archive", "Hygiene", "Sitemaps"))]
     reference = spark.createDataFrame([("f", k, n, True) for k, n in enumerate(names, 1)], "field string, entry long, name string, main boolean")
     want = dict.fromkeys(["Carwl Pipelines", "carwl pipelines", "Carwl-Pipelines", "carwl  pipelines", "Carwl Pipelinse", "Advanced Carwl Pipelines"], 1)
+    want |= {f"Advanced {n}": k for k, n in enumerate(names, 1)}  # teaches the qualifier
     want |= {n.replace("Crawl", "Carwl"): k for k, n in enumerate(names, 1)} | {"Cactus Carwl": 0, "Crawl Zebra": 0}
     values = spark.createDataFrame([("r", "f", v) for v in want], "key string, field string, value string")
     assert {r["value"]: r["entry"] for r in mapped(values, reference, shard=shard).collect()} == want
