@@ -49,14 +49,14 @@ def words_of(text: str) -> list[str]:
 
 
 def plain_forms(words: list[str], qualifiers: frozenset[str] | set[str]) -> list[list[str]]:
-    """The words, and what is left of them as one qualifier after another goes; a qualifier is `phrase ...` or `... phrase`."""
+    """The words, and what is left of them as one qualifier after another goes; a qualifier goes from either end."""
     forms, now = [words], words
     while True:
         for n in range(min(PHRASE, len(now) - 1), 0, -1):
-            if f"{' '.join(now[:n])} ..." in qualifiers:
+            if " ".join(now[:n]) in qualifiers:
                 now = now[n:]
                 break
-            if f"... {' '.join(now[-n:])}" in qualifiers:
+            if " ".join(now[-n:]) in qualifiers:
                 now = now[:-n]
                 break
         else:
@@ -213,10 +213,10 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for n in range(1, PHRASE + 1):
                 for at in range(min(len(words) - n, 2 * PHRASE)):
                     rest = words[n:] if not at and len(words) - n > 1 else None
-                    flat.add((field, value, f"{' '.join(words[at : at + n])} ...", rest and "".join(rest)))
+                    flat.add((field, value, " ".join(words[at : at + n]), rest and "".join(rest)))
                     end = len(words) - at
                     rest = words[:-n] if not at and len(words) - n > 1 else None
-                    flat.add((field, value, f"... {' '.join(words[end - n : end])}", rest and "".join(rest)))
+                    flat.add((field, value, " ".join(words[end - n : end]), rest and "".join(rest)))
         rows = zip(*flat) if flat else ([],) * 4
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in rows], names=["field", "value", "phrase", "rest"])
 
@@ -231,8 +231,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def with_qualifiers(distinct: DataFrame, names: DataFrame) -> DataFrame:
     """distinct (field, value) with peels: those of the qualifiers that all values teach which stand near the value's ends.
 
-    A phrase of one or two words is a qualifier if values put it right before, or right after, whole names of at least
-    TAUGHT entries of any fields. It is joined to the values that hold it, so no list of them is sent anywhere.
+    A phrase of one or two words is a qualifier if values put it right before or right after whole names of at least
+    TAUGHT entries of any fields; it then counts at either end. It is joined to the values that hold it, so no list of them is sent anywhere.
     """
     phrases = materialize(distinct.mapInArrow(_phrases, "field string, value string, phrase string, rest string"), "phrases")
     keys = names.select("field", "entry", "name").mapInArrow(_keys, "field string, entry long, rest string").distinct()
