@@ -1,15 +1,20 @@
 """Set similarity join by chosen paths.
 
 Every record is a set, held as 32 minwise values (its coordinates). A node of a tree holds records; it branches
-on a few coordinates chosen by a hash of the node, and a record goes to the child named by its value there, so two
-sets of similarity J meet in J of the children. A node of at most leaf_rows records is compared exhaustively; a child
-that keeps most of its parent (its records resemble each other throughout) is compared exhaustively in blocks.
-Trees repeat this until a pair at the threshold is met with the probability target_recall. They all draw from the same
-coordinates, so a pair that agrees in few of them is likely missed by every tree; the number of trees allows for that.
-The caller verifies the pairs exactly.
+on a few coordinates chosen by a hash of the node, none twice on a path, and a record goes to the child named by its
+value there, so two sets of similarity J meet in J of the children. A node of at most leaf_rows records is compared
+exhaustively, as is one of at most dense_rows that keeps most of its parent; larger ones branch on, however alike their
+records are, since records that share a template fall apart where they differ. Deep down a node has only so many
+branches that a pair at the threshold just survives. Trees repeat this until a pair at the threshold is met with the
+probability target_recall. They all draw from the same coordinates, so a pair that agrees in few of them is likely
+missed by every tree; the number of trees allows for that. The caller verifies the pairs exactly.
+
+Pairs are compared by sketches: 32 nibbles of the coordinates in shallow leaves, 128 nibbles of a one-permutation hash in
+deep and dense ones, where many pairs are nearly similar enough and a narrow sketch would pass them all.
 
 A path depends on nothing but the record's own coordinates, so each level is computed where the record lies; what is
-shuffled a level is one pre-aggregated count a node, and at the end the rows of the leaves, each of which is small.
+shuffled a level is one pre-aggregated count a node, and at the end the rows of the leaves, each of which is small. Every
+few levels the rows that branch on are written, so that levels aren't computed again and again.
 """
 
 from __future__ import annotations
@@ -32,11 +37,14 @@ COORDINATES = 32
 BROADCAST_NODES = 200_000
 #: Rows compared at once.
 AT_ONCE = 200_000
+PAIRS = "grp int, a long, b long, side int"
+#: Levels at which all nodes branch alike, and after how many further ones rows are written.
+SHALLOW, WRITTEN = 3, 4
 
 
 @dataclass(frozen=True)
 class Forest:
-    """threshold: the least similarity sought. branches: children of a root; deeper: of the other nodes. target_recall: of pairs right at the threshold, met three levels down. leaf_rows: the most a node compares as a whole. dense_share: part of its parent from which on a node no longer branches. block_rows: of a dense node."""
+    """threshold: the least similarity sought. branches: children of a root; deeper: of the nodes of the next levels, SHALLOW in all; below, `surviving` / threshold on average. target_recall: of pairs right at the threshold, met three levels down. leaf_rows: the most a node compares as a whole. dense_share: part of its parent from which on a node of up to dense_rows no longer branches. block_rows: of a node that is compared in blocks."""
 
     threshold: float
     branches: int = 5
@@ -44,15 +52,23 @@ class Forest:
     target_recall: float = 0.9975
     leaf_rows: int = 256
     dense_share: float = 0.5
+    dense_rows: int = 2048
     block_rows: int = 1024
-    deepest: int = 48
+    deepest: int = 24
+    surviving: float = 1.15
+
+    def spread(self, depth: int) -> float:
+        """Children of a node at this depth, on average."""
+        return self.deeper if depth < SHALLOW else min(self.deeper, self.surviving / self.threshold)
 
     def met(self, depth: int = 3, agreeing: float | None = None) -> float:
         """The probability that one tree keeps a pair together down to depth, if this share of its coordinates agrees."""
         p, share = 1.0, self.threshold if agreeing is None else agreeing
-        for level in range(depth, 0, -1):
-            p = 1 - (1 - share * p) ** (self.branches if level == 1 else self.deeper)
-        return p
+        for level in range(depth, 1, -1):
+            mean = self.spread(level - 1)
+            part = mean - math.floor(mean)
+            p = 1 - (1 - part) * (1 - share * p) ** math.floor(mean) - part * (1 - share * p) ** (math.floor(mean) + 1)
+        return 1 - (1 - share * p) ** self.branches
 
     def recall(self, trees: int, depth: int = 3) -> float:
         """The probability that so many trees over the same coordinates meet a pair at the threshold, over how many of these agree."""
@@ -64,6 +80,11 @@ class Forest:
         """So many that recall is target_recall, or as many as there are coordinates if none are enough."""
         return next((n for n in range(1, COORDINATES) if self.recall(n) >= self.target_recall), COORDINATES)
 
+    def least_wide(self, filled: np.ndarray) -> np.ndarray:
+        """Of so many bins that either record fills, those that must agree: three standard deviations below what a pair at the threshold has."""
+        p = self.threshold + (1 - self.threshold) / 15
+        return filled * p - 3 * np.sqrt(filled * p * (1 - p))
+
     def least_nibbles(self) -> int:
         """Of 32 nibbles that agree: three standard deviations below what a pair at the threshold has."""
         p = self.threshold + (1 - self.threshold) / 16
@@ -71,12 +92,14 @@ class Forest:
 
 
 def with_signature(values: np.ndarray, lengths: np.ndarray) -> dict[str, pa.Array]:
-    """The columns sig, s0 and s1 of records whose hashed values lie one after another; no record may be empty."""
+    """The columns sig, s0, s1 and wide of records whose hashed values lie one after another; no record may be empty."""
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
     sig = hashing.minwise(values, starts, COORDINATES) if len(lengths) else np.empty((0, COORDINATES), dtype=np.int32)
     s0, s1 = hashing.nibbles(sig)
     offsets = pa.array(np.arange(len(lengths) + 1, dtype=np.int32) * COORDINATES)
-    return {"sig": pa.ListArray.from_arrays(offsets, pa.array(sig.ravel())), "s0": pa.array(s0), "s1": pa.array(s1)}
+    bins = pa.array(np.arange(len(lengths) + 1, dtype=np.int32) * hashing.WIDE)
+    wide = hashing.packed_bins(hashing.bin_minima(values, lengths))
+    return {"sig": pa.ListArray.from_arrays(offsets, pa.array(sig.ravel())), "s0": pa.array(s0), "s1": pa.array(s1), "wide": pa.ListArray.from_arrays(bins, pa.array(wide.ravel()))}
 
 
 def _value(at: Column) -> Column:
@@ -93,18 +116,21 @@ def _roots(records: DataFrame, forest: Forest) -> DataFrame:
     for tree in range(forest.trees):
         for j in range(forest.branches):
             at = (tree * forest.branches + j) % COORDINATES
-            nodes.append(_name(F.lit(tree), F.col("grp"), F.lit(at), _value(F.lit(at))))
-    return records.select("*", F.explode(F.array(*nodes)).alias("node"))
+            nodes.append(F.struct(_name(F.lit(tree), F.col("grp"), F.lit(at), _value(F.lit(at))).alias("node"), F.lit(1 << at).cast("long").alias("used")))
+    return records.select("*", F.inline(F.array(*nodes)))
 
 
-def _children(rows: DataFrame, forest: Forest) -> DataFrame:
-    start = F.xxhash64(F.col("node"), F.lit(1)).bitwiseAND(F.lit(COORDINATES - 1)).cast("int")
-    step = F.xxhash64(F.col("node"), F.lit(2)).bitwiseAND(F.lit(COORDINATES - 1)).cast("int").bitwiseOR(F.lit(1))  # odd: the branches' coordinates differ
-    nodes = []
-    for j in range(forest.deeper):
-        at = (start + step * j).bitwiseAND(F.lit(COORDINATES - 1))
-        nodes.append(_name(F.col("node"), at, _value(at)))
-    return rows.withColumn("node", F.explode(F.array(*nodes)))
+def _children(rows: DataFrame, forest: Forest, depth: int) -> DataFrame:
+    """The children of nodes at depth: used are the bits of the coordinates of a node's path, which aren't taken again."""
+    free = F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda c: F.getbit(F.col("used"), c) == 0)
+    rows = rows.withColumn("_free", free).withColumn("_n", F.size("_free"))
+    first = F.pmod(F.xxhash64(F.col("node"), F.lit(1)), F.col("_n"))
+    second = F.pmod(first + 1 + F.pmod(F.xxhash64(F.col("node"), F.lit(2)), F.col("_n") - 1), F.col("_n"))
+    part = forest.spread(depth) - 1
+    twice = F.pmod(F.xxhash64(F.col("node"), F.lit(3)), F.lit(1 << 20)) < int(part * (1 << 20))
+    chosen = F.when(twice, F.array(first, second)).otherwise(F.array(first))
+    rows = rows.withColumn("_at", F.explode(F.transform(chosen, lambda k: F.get("_free", k.cast("int")))))
+    return rows.withColumns({"node": _name(F.col("node"), F.col("_at"), _value(F.col("_at"))), "used": F.expr("used | shiftleft(1L, _at)")}).drop("_free", "_n", "_at")
 
 
 def _blocks(rows: DataFrame, forest: Forest) -> DataFrame:
@@ -116,12 +142,19 @@ def _blocks(rows: DataFrame, forest: Forest) -> DataFrame:
 
 
 
-def _compare(forest: Forest, by_size: bool):
-    """Compares the rows of each node, which follow one another, many nodes at once."""
+def _compare(forest: Forest, by_size: bool, broad: bool):
+    """Compares the rows of each node, which follow one another, many nodes at once; by the wide sketches if broad."""
     least, ratio = forest.least_nibbles(), forest.threshold
 
+    def near(sketch: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        a, b = sketch[i], sketch[j]
+        if not broad:
+            return hashing.equal_nibbles(a[:, 0], b[:, 0]) + hashing.equal_nibbles(a[:, 1], b[:, 1]) >= least
+        filled = hashing.filled_nibbles(a | b).sum(axis=1)
+        return filled - hashing.filled_nibbles(a ^ b).sum(axis=1) >= forest.least_wide(filled) - 1e-9
+
     def pairs(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
-        node, rid, s0, s1, meta = cols
+        node, rid, meta, sketch = cols
         at, lag = np.arange(len(node) - 1), 1
         while True:
             at = at[at + lag < len(node)]
@@ -129,7 +162,7 @@ def _compare(forest: Forest, by_size: bool):
             if not len(at):
                 return
             i, j = at, at + lag
-            keep = hashing.equal_nibbles(s0[i], s0[j]) + hashing.equal_nibbles(s1[i], s1[j]) >= least
+            keep = near(sketch, i, j)
             keep &= (rid[i] != rid[j]) | (meta[i] != meta[j])
             keep &= (meta[i] & meta[j] & 1) == 0
             if by_size:
@@ -142,7 +175,6 @@ def _compare(forest: Forest, by_size: bool):
             yield (meta[a] >> 33).astype(np.int32), rid[a], rid[b], (meta[b] & 1).astype(np.int32)
             lag += 1
 
-    names = ["grp", "a", "b", "side"]
     schema = pa.schema([("grp", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("side", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +187,11 @@ def _compare(forest: Forest, by_size: bool):
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], schema=schema)
 
         for batch in batches:
-            held.append([batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)])
+            held.append([batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)])
+            if broad:
+                held[-1].append(batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, hashing.WIDE))
+            else:
+                held[-1].append(np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4)], axis=1))
             rows += batch.num_rows
             if rows >= AT_ONCE:
                 cols = [np.concatenate(x) for x in zip(*held)]
@@ -165,44 +201,78 @@ def _compare(forest: Forest, by_size: bool):
         if rows:
             yield from flush([np.concatenate(x) for x in zip(*held)])
 
-    return run, "grp int, a long, b long, side int", names
+    return run, PAIRS
 
 
 def candidates(records: DataFrame, forest: Forest, by_size: bool = False) -> DataFrame:
     """Pairs of records that met in a node and whose sketches don't rule the threshold out.
 
     records: grp int (only records of one grp are compared), rid long, side int (0 or 1; two records of side 1 aren't
-    compared), size int, sig, s0, s1 as with_signature() makes them; a stored table, as each level reads it. Returns distinct grp, a, b, side: a is of side 0,
+    compared), size int, sig, s0, s1, wide as with_signature() makes them; a stored table, as each level reads it. Returns distinct grp, a, b, side: a is of side 0,
     side is b's, and a < b where that is 0. An empty input gives no rows; by_size drops pairs whose sizes alone rule
     the threshold out. Records should be distinct: a record met by its own copy gives no pair.
     """
     spark = records.sparkSession
     meta = F.shiftleft(F.col("grp").cast("long"), 33).bitwiseOR(F.shiftleft(F.col("size").cast("long"), 1)).bitwiseOR(F.col("side").cast("long"))
-    records = records.select("grp", "rid", meta.alias("meta"), "sig", "s0", "s1")
+    records = records.select("grp", "rid", meta.alias("meta"), "sig", "s0", "s1", "wide")
     totals = {r["grp"]: r["n"] for r in records.groupBy("grp").agg(F.count("*").alias("n")).collect()}  # one row a grp, of which the caller has a fixed few
-    slim = ["node", "rid", "s0", "s1", "meta"]
+    slim, broad = ["node", "rid", "meta", "s0", "s1"], ["node", "rid", "meta", "wide"]
     leaves: list[DataFrame] = []
+    deep: list[DataFrame] = []
     if totals:
         parent = F.create_map(*[F.lit(x) for kv in totals.items() for x in kv])
         rows = _roots(records, forest).withColumn("pcnt", parent[F.col("grp")].cast("long"))
         for depth in range(1, forest.deepest + 1):
             counts = rows.groupBy("node").agg(F.count("*").alias("cnt"), F.max("pcnt").alias("pcnt")).where(F.col("cnt") > forest.leaf_rows)
             last = depth == forest.deepest
-            counts = materialize(counts.select("node", "cnt", (F.lit(last) | (F.col("cnt") >= forest.dense_share * F.col("pcnt"))).alias("dense")), "nodes")
+            dense = F.lit(last) | ((F.col("cnt") >= forest.dense_share * F.col("pcnt")) & (F.col("cnt") <= forest.dense_rows))
+            counts = materialize(counts.select("node", "cnt", dense.alias("dense")), "nodes")
             kinds = {r["dense"]: r["n"] for r in counts.groupBy("dense").agg(F.count("*").alias("n")).collect()}
+            small, kept = (leaves, slim) if depth <= SHALLOW else (deep, broad)
             if not kinds:
-                leaves.append(rows.select(slim))
+                small.append(rows.select(kept))
                 break
             large = F.broadcast(counts) if sum(kinds.values()) <= BROADCAST_NODES else counts
-            leaves.append(rows.join(large.select("node"), "node", "left_anti").select(slim))
+            small.append(rows.join(large.select("node"), "node", "left_anti").select(kept))
             inner = rows.drop("pcnt").join(large, "node")
             if kinds.get(True):
-                leaves.append(_blocks(inner.where("dense"), forest).select(slim))
+                deep.append(_blocks(inner.where("dense"), forest).select(broad))
             if not kinds.get(False):
                 break
-            rows = _children(inner.where("not dense").withColumnRenamed("cnt", "pcnt").drop("dense"), forest)
-    compare, schema, names = _compare(forest, by_size)
-    if not leaves:
-        return spark.createDataFrame([], schema)
-    met = reduce(DataFrame.unionByName, leaves).repartition("node").sortWithinPartitions("node")
-    return met.mapInArrow(compare, schema).groupBy(*names).agg(F.lit(1).alias("_")).drop("_")
+            rows = _children(inner.where("not dense").withColumnRenamed("cnt", "pcnt").drop("dense"), forest, depth)
+            if depth >= SHALLOW and (depth - SHALLOW) % WRITTEN == 0:
+                rows = materialize(rows, "paths")
+    names = ["grp", "a", "b", "side"]
+    parts = []
+    for found, is_broad in ((leaves, False), (deep, True)):
+        if found:
+            compare, schema = _compare(forest, by_size, is_broad)
+            met = reduce(DataFrame.unionByName, found).repartition("node").sortWithinPartitions("node")
+            parts.append(met.mapInArrow(compare, schema))
+    if not parts:
+        return spark.createDataFrame([], PAIRS)
+    return reduce(DataFrame.unionByName, parts).groupBy(*names).agg(F.lit(1).alias("_")).drop("_")
+
+
+#: Keys of one record that are joined in one part.
+PART = 1000
+
+
+def expanded(links: DataFrame, left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """links (on..., a, side, b) with x, the keys of a in left (on..., rid, key), and y, those of b in right (on..., side, rid, key).
+
+    The keys of a record with many (copies of one text, say) are dealt to parts, and each of its links is joined with
+    every part, so that no join key has more than about PART rows of keys.
+    """
+
+    def dealt(keys: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+        hot = materialize(keys.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > PART).select(*by, F.ceil(F.col("n") / PART).cast("int").alias("parts")), "hot")
+        own = F.pmod(F.xxhash64("key", F.lit(8)), F.coalesce("parts", F.lit(1))).cast("int")
+        return keys.join(hot, by, "left").withColumn("part", own).drop("parts"), hot
+
+    for keys, by, end, name in ((left, [*on, "rid"], "a", "x"), (right, [*on, "side", "rid"], "b", "y")):
+        parts, hot = dealt(keys, by)
+        ends = [*by[:-1], end]
+        links = links.join(hot.withColumnRenamed("rid", end), ends, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        links = links.join(parts.withColumnsRenamed({"rid": end, "key": name}), [*ends, "part"]).drop("part")
+    return links

@@ -82,6 +82,36 @@ def nibbles(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return packed[:, 0].view(np.int64), packed[:, 1].view(np.int64)
 
 
+#: Bins of a wide sketch, and 64-bit numbers it takes.
+BINS, WIDE = 128, 8
+
+
+def bin_minima(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each run of values of these lengths, the least hash of those in each of BINS bins, as 31 bits; the greatest such number where there are none."""
+    h = mixed(values + _U(0x632BE59BD9B4E019))
+    at = np.repeat(np.arange(len(lengths)), lengths) * BINS + (h >> _U(57)).astype(np.int64)
+    least = np.full(len(lengths) * BINS, (1 << 31) - 1, dtype=np.uint32)
+    np.minimum.at(least, at, ((h & _U(0xFFFFFFFF)) >> _U(1)).astype(np.uint32))
+    return least.reshape(len(lengths), BINS)
+
+
+def packed_bins(least: np.ndarray) -> np.ndarray:
+    """WIDE numbers for each row of bin_minima(): a nibble a bin, 0 of an empty one."""
+    bits = np.where(least == (1 << 31) - 1, _U(0), mixed(least.astype(_U)) % _U(15) + _U(1)).reshape(len(least), WIDE, 16)
+    packed = np.zeros((len(least), WIDE), dtype=_U)
+    for k in range(16):
+        packed |= bits[:, :, k] << _U(4 * k)
+    return packed.view(np.int64)
+
+
+def filled_nibbles(x: np.ndarray) -> np.ndarray:
+    """How many of each number's 16 nibbles aren't 0."""
+    x = x.view(_U)
+    x = x | (x >> _U(1))
+    x = (x | (x >> _U(2))) & _U(0x1111111111111111)
+    return np.bitwise_count(x).astype(np.int64)
+
+
 def equal_nibbles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """How many of 16 nibbles agree."""
     x = (a ^ b).view(_U)

@@ -29,10 +29,8 @@ class NearDuplicates:
         """grp, key_a, key_b of all different keys whose texts are equal or near, the smaller key first."""
         of = self.texts.select("grp", "rid", "key")
         copies = of.groupBy("grp", "rid").agg(F.count("*").alias("n")).where("n > 1").select("grp", F.col("rid").alias("a"), F.col("rid").alias("b"))
-        links = self.pairs.select("grp", "a", "b").unionByName(copies)
-        left = of.withColumnsRenamed({"rid": "a", "key": "x"})
-        right = of.withColumnsRenamed({"rid": "b", "key": "y"})
-        both = links.join(left, ["grp", "a"]).join(right, ["grp", "b"]).where("x <> y")
+        links = self.pairs.select("grp", "a", "b").unionByName(copies).withColumn("side", F.lit(0))
+        both = chosen_path.expanded(links, of, of.withColumn("side", F.lit(0)), ["grp"]).where("x <> y")
         return both.select("grp", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
 
     def classes(self) -> DataFrame:
@@ -42,12 +40,12 @@ class NearDuplicates:
 
 
 def _sign(width: int, least_words: int):
-    """grp, rid, text to the records of chosen_path; texts of too few words are left out."""
+    """grp, h0, h1, text to the records of chosen_path; texts of too few words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = hashing.WordHashes()
         for batch in batches:
-            lists = [hashing.words_of(t) for t in batch.column(2).to_pylist()]
+            lists = [hashing.words_of(t) for t in batch.column(3).to_pylist()]
             counts = np.array([len(x) for x in lists], dtype=np.int64)
             kept = np.flatnonzero(counts >= max(least_words, width))
             values = known.flat([lists[i] for i in kept])
@@ -57,11 +55,11 @@ def _sign(width: int, least_words: int):
             for k in range(1, width):
                 cut = ends - k
                 inside[cut[cut < len(grams)]] = False
-            columns = {"grp": batch.column(0).take(pa.array(kept)), "rid": batch.column(1).take(pa.array(kept))}
+            columns = {name: batch.column(k).take(pa.array(kept)) for k, name in enumerate(("grp", "h0", "h1"))}
             columns |= chosen_path.with_signature(grams[inside], counts[kept] - width + 1)
             yield pa.RecordBatch.from_pydict(columns)
 
-    return run, "grp int, rid long, sig array<int>, s0 long, s1 long"
+    return run, "grp int, h0 long, h1 long, sig array<int>, s0 long, s1 long, wide array<long>"
 
 
 def _verify(width: int, threshold: float):
@@ -95,22 +93,26 @@ def near_duplicates(texts: DataFrame, width: int = 5, threshold: float = 0.8, le
     """Pairs of texts that share at least threshold of their sequences of width words (those in both / in either).
 
     texts: grp int (texts of different grps aren't compared), key string, text string; other columns are ignored.
-    Null texts and those of fewer than max(width, least_words) words belong to no pair. Equal texts are one text with
-    one rid (a 64-bit hash of it), of which texts names the keys; rows repeated as a whole count once. A key may have
-    several texts. Empty input gives empty results. Words are maximal runs of letters or digits of the lower-cased text.
+    Null texts and those of fewer than max(width, least_words) words belong to no pair. Equal texts (by 128
+    bits of hash) are one text with one rid, of which texts names the keys; rows repeated as a whole count once. A key may have
+    several texts. Empty input gives empty results. Runs jobs and writes to the shared folder when called. Words are maximal runs of letters or digits of the lower-cased text.
     """
     forest = forest or Forest(threshold)
     short = 2 * max(least_words, width) - 1  # so many words have at least so many characters
-    rows = texts.where(F.col("text").isNotNull() & (F.length("text") >= short)).select("grp", "key", F.xxhash64("text").alias("rid"), "text")
+    both_hashes = F.xxhash64("text").alias("h0"), F.xxhash64(F.lit(1), "text").alias("h1")
+    rows = texts.where(F.col("text").isNotNull() & (F.length("text") >= short)).select("grp", "key", *both_hashes, "text")
+    same = ["grp", "h0", "h1"]
     sign, schema = _sign(width, least_words)
-    signed = materialize(rows.dropDuplicates(["grp", "rid"]).select("grp", "rid", "text").mapInArrow(sign, schema), "signed")
+    signed = rows.dropDuplicates(same).select(*same, "text").mapInArrow(sign, schema).withColumn("rid", F.monotonically_increasing_id())
+    signed = materialize(signed, "signed")
     met = chosen_path.candidates(signed.select("*", F.lit(0).alias("side"), F.lit(0).alias("size")), forest)
     met = materialize(met.select("grp", "a", "b"), "met")
-    ids = materialize(met.select("grp", F.explode(F.array("a", "b")).alias("rid")).distinct(), "ids")
+    ids = met.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    ids = materialize(signed.select(*same, "rid").join(ids, "rid", "left_semi"), "ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    found = rows.join(wanted, ["grp", "rid"], "left_semi").dropDuplicates(["grp", "rid"]).select("grp", "rid", "text")
-    both = met.join(found.withColumnsRenamed({"rid": "a", "text": "x"}), ["grp", "a"]).join(found.withColumnsRenamed({"rid": "b", "text": "y"}), ["grp", "b"])
+    found = rows.join(wanted, same).dropDuplicates(["rid"]).select("rid", "text")
+    both = met.join(found.withColumnsRenamed({"rid": "a", "text": "x"}), "a").join(found.withColumnsRenamed({"rid": "b", "text": "y"}), "b")
     verify, schema = _verify(width, threshold)
     pairs = materialize(both.select("grp", "a", "b", "x", "y").mapInArrow(verify, schema), "pairs")
-    keyed = rows.select("grp", "rid", "key").distinct().join(signed.select("grp", "rid"), ["grp", "rid"], "left_semi")
+    keyed = rows.select(*same, "key").distinct().join(signed.select(*same, "rid"), same).select("grp", "rid", "key")
     return NearDuplicates(keyed, pairs)

@@ -30,9 +30,18 @@ def _readable(spark: SparkSession, folder: str) -> DataFrame:
     return content.unionByName(summary)
 
 
+def _near(spark: SparkSession, folder: str):
+    return near_duplicates(_readable(spark, folder), width=3, threshold=0.6, least_words=20)
+
+
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """field_name, key, class_id, links: one row a repo, with its text's class (copies share it) and how many other texts are near."""
+    return _near(spark, folder).classes().select(_named("grp", ["readme_content", "readme_summary"]).alias("field_name"), "key", F.col("rid").alias("class_id"), "links")
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """field_name, key_a, key_b: repos whose texts of at least 20 words share 0.6 of their three-word sequences."""
-    pairs = near_duplicates(_readable(spark, folder), width=3, threshold=0.6, least_words=20).key_pairs()
+    pairs = _near(spark, folder).key_pairs()
     return pairs.select(_named("grp", ["readme_content", "readme_summary"]).alias("field_name"), "key_a", "key_b")
 
 
@@ -66,10 +75,20 @@ def _edge_sets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame |
     return gathered(edges.where("key <> to").select(F.lit(1).alias("grp"), F.lit(0).alias("side"), "key", F.xxhash64("to").alias("token")))
 
 
+def _similar(spark: SparkSession, folder: str):
+    targets, large = _edge_sets(spark, folder)
+    return similar_sets(_tag_sets(spark, folder).unionByName(targets), 3, 4, least_size=6, large=large)
+
+
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """kind, side (1: of hub_repos), key, class_id, links: one row a set, with its class (equal sets share it) and to how many other sets it is similar."""
+    classes = _similar(spark, folder).classes()
+    return classes.select(F.when(F.col("grp") == 1, "edges").otherwise("tags").alias("kind"), "side", "key", F.col("rid").alias("class_id"), "links")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """kind, key_a, key_b: pairs of sets of at least 6 values that overlap by 3/4."""
-    targets, large = _edge_sets(spark, folder)
-    pairs = similar_sets(_tag_sets(spark, folder).unionByName(targets), 3, 4, least_size=6, large=large).key_pairs()
+    pairs = _similar(spark, folder).key_pairs()
     kind = F.when(F.col("grp") == 1, "edges").when(F.col("side") == 1, "tags_hub").otherwise("tags")
     return pairs.select(kind.alias("kind"), "key_a", "key_b")
 
@@ -119,5 +138,5 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p2_found, p2_terms, p3_found, p4_found, p5_found, p6_ids, p7_found, p8_found)
+    found = (p1_found, p1_classes, p2_found, p2_terms, p3_found, p3_classes, p4_found, p5_found, p6_ids, p7_found, p8_found)
     return {f.__name__: f for f in found}

@@ -31,9 +31,7 @@ class SimilarSets:
         of = self.members
         copies = of.where("side = 0").groupBy("grp", "rid").agg(F.count("*").alias("n")).where("n > 1").select("grp", F.col("rid").alias("a"), F.col("rid").alias("b"), F.lit(0).alias("side"))
         links = self.pairs.select("grp", "a", "b", "side").unionByName(copies)
-        left = of.where("side = 0").select("grp", F.col("rid").alias("a"), F.col("key").alias("x"))
-        right = of.select("grp", "side", F.col("rid").alias("b"), F.col("key").alias("y"))
-        both = links.join(left, ["grp", "a"]).join(right, ["grp", "side", "b"]).where("x <> y")
+        both = chosen_path.expanded(links, of.where("side = 0").drop("side"), of, ["grp"]).where("x <> y")
         return both.select("grp", "side", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
 
     def classes(self) -> DataFrame:
@@ -44,12 +42,12 @@ class SimilarSets:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """grp, side, rid, tokens to the records of chosen_path."""
+    """grp, side, h0, h1, tokens to the records of chosen_path."""
     for batch in batches:
-        tokens = batch.column(3)
+        tokens = batch.column(4)
         lengths = np.diff(tokens.offsets.to_numpy())
         values = tokens.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        columns = {"grp": batch.column(0), "side": batch.column(1), "rid": batch.column(2), "size": pa.array(lengths.astype(np.int32))}
+        columns = {"grp": batch.column(0), "side": batch.column(1), "h0": batch.column(2), "h1": batch.column(3), "size": pa.array(lengths.astype(np.int32))}
         yield pa.RecordBatch.from_pydict(columns | chosen_path.with_signature(values, lengths) | {"tokens": tokens})
 
 
@@ -70,26 +68,31 @@ def _sign_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.diff(tokens.offsets.to_numpy())
         values = tokens.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         signed = chosen_path.with_signature(values, lengths)
-        yield pa.RecordBatch.from_pydict({"grp": batch.column(0), "side": batch.column(1), "key": batch.column(2), "size": pa.array(lengths.astype(np.int64)), "sig": signed["sig"]})
+        offsets = pa.array(np.arange(len(lengths) + 1, dtype=np.int32) * hashing.BINS)
+        bins = pa.ListArray.from_arrays(offsets, pa.array(hashing.bin_minima(values, lengths).ravel().view(np.int32)))
+        yield pa.RecordBatch.from_pydict({"grp": batch.column(0), "side": batch.column(1), "key": batch.column(2), "size": pa.array(lengths.astype(np.int64)), "sig": signed["sig"], "bins": bins})
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds s0 and s1 to rows whose last column is sig."""
+    """grp, side, key, size, bins, sig to the same with s0, s1 and wide instead of bins."""
     for batch in batches:
-        sig = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, chosen_path.COORDINATES)
+        bins, sig = (batch.column(k).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, n) for k, n in ((4, hashing.BINS), (5, chosen_path.COORDINATES)))
         s0, s1 = hashing.nibbles(sig)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s0), pa.array(s1)], names=[*batch.schema.names, "s0", "s1"])
+        offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * hashing.WIDE)
+        wide = pa.ListArray.from_arrays(offsets, pa.array(hashing.packed_bins(bins).ravel()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], batch.column(5), pa.array(s0), pa.array(s1), wide], names=["grp", "side", "key", "size", "sig", "s0", "s1", "wide"])
 
 
 def _signed_large(large: DataFrame, least_size: int, chunk: int) -> DataFrame:
     """grp, side, rid, key, size, sig, s0, s1 of sets that stay rows: their signature is the least of their chunks'."""
     keys = ["grp", "side", "key"]
     parts = large.withColumn("_chunk", F.pmod(F.xxhash64("token", F.lit(3)), F.ceil(F.col("n") / chunk))).groupBy(*keys, "_chunk").agg(F.collect_set("token").alias("tokens"))
-    signed = parts.select(*keys, "tokens").mapInArrow(_sign_chunks, "grp int, side int, key string, size long, sig array<int>")
+    signed = parts.select(*keys, "tokens").mapInArrow(_sign_chunks, "grp int, side int, key string, size long, sig array<int>, bins array<int>")
     least = F.array(*[F.min(F.col("sig")[c]) for c in range(chosen_path.COORDINATES)])
-    whole = signed.groupBy(*keys).agg(F.sum("size").cast("int").alias("size"), least.alias("sig")).where(F.col("size") >= least_size)
-    whole = whole.select("grp", "side", F.xxhash64("key", F.lit("large")).alias("rid"), "key", "size", "sig")
-    return materialize(whole.mapInArrow(_sketch, "grp int, side int, rid long, key string, size int, sig array<int>, s0 long, s1 long"), "signed")
+    bins = F.array(*[F.min(F.col("bins")[c]) for c in range(hashing.BINS)])
+    whole = signed.groupBy(*keys).agg(F.sum("size").cast("int").alias("size"), bins.alias("bins"), least.alias("sig")).where(F.col("size") >= least_size)
+    whole = whole.select("grp", "side", "key", "size", "bins", "sig").mapInArrow(_sketch, "grp int, side int, key string, size int, sig array<int>, s0 long, s1 long, wide array<long>")
+    return materialize(whole.withColumn("rid", -1 - F.monotonically_increasing_id()), "signed")  # others are not negative
 
 
 def similar_sets(sets: DataFrame, numerator: int = 3, denominator: int = 4, least_size: int = 1, forest: Forest | None = None, large: DataFrame | None = None, chunk: int = LARGE) -> SimilarSets:
@@ -98,17 +101,21 @@ def similar_sets(sets: DataFrame, numerator: int = 3, denominator: int = 4, leas
     sets: grp int, side int, key string, tokens array<long> (hashes of the values); sets of different grps aren't
     compared, nor two of side 1. Null tokens, repeats and sets of fewer than least_size values (at least one) are left
     out; a row whose key is null too. Equal sets are one set with one rid, of which members names the keys; a key given
-    in several rows with different sets has each of them. Empty input gives empty results. large: grp, side, key, token,
+    in several rows with different sets has each of them. Empty input gives empty results. Sets are equal by 128 bits of
+    hash, values by the caller's 64. Runs jobs and writes to the shared folder when called. large: grp, side, key, token,
     n, the sets too large for a row, as gathered() gives them; they are signed in chunks of about `chunk` values and
     verified by joins, and equal ones are a pair each instead of one set.
     """
     forest = forest or Forest(numerator / denominator, branches=4)
     clean = F.array_sort(F.array_distinct(F.array_compact("tokens")))
     rows = sets.where(F.col("key").isNotNull()).select("grp", "side", "key", clean.alias("tokens")).where(F.size("tokens") >= max(1, least_size))
-    rows = materialize(rows.withColumn("rid", F.xxhash64("tokens")), "sets")
-    distinct = rows.dropDuplicates(["grp", "side", "rid"]).select("grp", "side", "rid", "tokens")
-    signed = materialize(distinct.mapInArrow(_sign, "grp int, side int, rid long, size int, sig array<int>, s0 long, s1 long, tokens array<long>"), "signed")
-    records, members = signed.drop("tokens"), rows.select("grp", "side", "rid", "key").distinct()
+    same = ["grp", "side", "h0", "h1"]
+    rows = materialize(rows.withColumns({"h0": F.xxhash64("tokens"), "h1": F.xxhash64(F.lit(1), "tokens")}), "sets")
+    distinct = rows.dropDuplicates(same).select(*same, "tokens")
+    signed = distinct.mapInArrow(_sign, "grp int, side int, h0 long, h1 long, size int, sig array<int>, s0 long, s1 long, wide array<long>, tokens array<long>")
+    signed = materialize(signed.withColumn("rid", F.monotonically_increasing_id()), "signed")
+    records = signed.drop("tokens", "h0", "h1")
+    members = rows.select(*same, "key").distinct().join(signed.select(*same, "rid"), same).select("grp", "side", "rid", "key")
     if large is not None:
         big = _signed_large(large.where(F.col("key").isNotNull() & F.col("token").isNotNull()), least_size, chunk)
         records, members = records.unionByName(big.drop("key")), members.unionByName(big.select("grp", "side", "rid", "key"))
