@@ -76,7 +76,7 @@ def test_together_against_counting(spark, monkeypatch, wide, side):
         import numpy as np
         import pyarrow as pa
 
-        monkeypatch.setattr(cooccurrence, "WIDE", wide)
+        monkeypatch.setattr(cooccurrence, "AT_ONCE", wide * 10)
         monkeypatch.setattr(cooccurrence, "SIDE", side)
         monkeypatch.setattr(cooccurrence, "HELD", 2)
         lists = [[names.index(x) for x in b] for b in baskets.values()]
@@ -88,6 +88,26 @@ def test_together_against_counting(spark, monkeypatch, wide, side):
         assert got == pairs
 
 
+def test_many_items_are_held_as_cells(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    lists = [np.unique(rng.integers(0, 50_000, 100)).astype(np.int32) for _ in range(2000)]
+    monkeypatch.setattr(cooccurrence, "HELD", 500_000)
+    monkeypatch.setattr(cooccurrence, "AT_ONCE", 200_000)
+    tracemalloc.start()
+    got = 0
+    for k in range(0, 2000, 500):
+        batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(500, dtype=np.int32)), pa.array([x.tolist() for x in lists[k : k + 500]], pa.list_(pa.int32()))], names=["grp", "items"])
+        got += sum(int(np.sum(out.column(3).to_numpy())) for out in cooccurrence._gram(iter([batch])))
+    assert got == sum(len(x) * (len(x) - 1) // 2 for x in lists)
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
 def test_no_baskets(spark):
     assert together(spark.createDataFrame([], "grp int, key string, items array<string>")).count() == 0
 
