@@ -116,20 +116,29 @@ def _roots(records: DataFrame, forest: Forest) -> DataFrame:
     for tree in range(forest.trees):
         for j in range(forest.branches):
             at = (tree * forest.branches + j) % COORDINATES
-            nodes.append(F.struct(_name(F.lit(tree), F.col("grp"), F.lit(at), _value(F.lit(at))).alias("node"), F.lit(1 << at).cast("long").alias("used")))
-    return records.select("*", F.inline(F.array(*nodes)))
+            nodes.append(_name(F.lit(tree), F.col("grp"), F.lit(at), _value(F.lit(at))))
+    rows = records.select("*", F.posexplode(F.array(*nodes)).alias("_k", "node"))
+    return rows.withColumn("used", F.expr(f"shiftleft(1L, _k % {COORDINATES})")).drop("_k")
 
 
 def _children(rows: DataFrame, forest: Forest, depth: int) -> DataFrame:
     """The children of nodes at depth: used are the bits of the coordinates of a node's path, which aren't taken again."""
-    free = F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda c: F.getbit(F.col("used"), c) == 0)
-    rows = rows.withColumn("_free", free).withColumn("_n", F.size("_free"))
-    first = F.pmod(F.xxhash64(F.col("node"), F.lit(1)), F.col("_n"))
-    second = F.pmod(first + 1 + F.pmod(F.xxhash64(F.col("node"), F.lit(2)), F.col("_n") - 1), F.col("_n"))
+    bits = lambda salt: F.xxhash64(F.col("node"), F.lit(salt)).bitwiseAND(F.lit(COORDINATES - 1)).cast("int")
     part = forest.spread(depth) - 1
     twice = F.pmod(F.xxhash64(F.col("node"), F.lit(3)), F.lit(1 << 20)) < int(part * (1 << 20))
-    chosen = F.when(twice, F.array(first, second)).otherwise(F.array(first))
-    rows = rows.withColumn("_at", F.explode(F.transform(chosen, lambda k: F.get("_free", k.cast("int")))))
+    if depth <= SHALLOW:  # few are taken: another try is enough, and cheaper than a list
+        step = bits(2).bitwiseOR(F.lit(1))
+        again = lambda at: F.when(F.getbit(F.col("used"), at) == 1, (at + step).bitwiseAND(F.lit(COORDINATES - 1))).otherwise(at)
+        first = bits(1)
+        chosen = F.array(again(first), again((first + bits(4).bitwiseOR(F.lit(1))).bitwiseAND(F.lit(COORDINATES - 1))))
+        rows = rows.withColumn("_at", F.explode(chosen if part == 1 else F.when(twice, chosen).otherwise(F.slice(chosen, 1, 1))))
+    else:
+        free = F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda c: F.getbit(F.col("used"), c) == 0)
+        rows = rows.withColumn("_free", free).withColumn("_n", F.size("_free"))
+        first = F.pmod(F.xxhash64(F.col("node"), F.lit(1)), F.col("_n"))
+        second = F.pmod(first + 1 + F.pmod(F.xxhash64(F.col("node"), F.lit(2)), F.col("_n") - 1), F.col("_n"))
+        chosen = F.when(twice, F.array(first, second)).otherwise(F.array(first))
+        rows = rows.withColumn("_at", F.explode(F.transform(chosen, lambda k: F.get("_free", k.cast("int")))))
     return rows.withColumns({"node": _name(F.col("node"), F.col("_at"), _value(F.col("_at"))), "used": F.expr("used | shiftleft(1L, _at)")}).drop("_free", "_n", "_at")
 
 
@@ -258,21 +267,17 @@ def candidates(records: DataFrame, forest: Forest, by_size: bool = False) -> Dat
 PART = 1000
 
 
-def expanded(links: DataFrame, left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """links (on..., a, side, b) with x, the keys of a in left (on..., rid, key), and y, those of b in right (on..., side, rid, key).
+def expanded(links: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """links (on..., a, side, b) with x, the keys of a, and y, those of b; keys: on..., side, rid, key; a is of side 0.
 
     The keys of a record with many (copies of one text, say) are dealt to parts, and each of its links is joined with
     every part, so that no join key has more than about PART rows of keys.
     """
-
-    def dealt(keys: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-        hot = materialize(keys.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > PART).select(*by, F.ceil(F.col("n") / PART).cast("int").alias("parts")), "hot")
-        own = F.pmod(F.xxhash64("key", F.lit(8)), F.coalesce("parts", F.lit(1))).cast("int")
-        return keys.join(hot, by, "left").withColumn("part", own).drop("parts"), hot
-
-    for keys, by, end, name in ((left, [*on, "rid"], "a", "x"), (right, [*on, "side", "rid"], "b", "y")):
-        parts, hot = dealt(keys, by)
-        ends = [*by[:-1], end]
-        links = links.join(hot.withColumnRenamed("rid", end), ends, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-        links = links.join(parts.withColumnsRenamed({"rid": end, "key": name}), [*ends, "part"]).drop("part")
+    by = [*on, "side", "rid"]
+    hot = materialize(keys.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > PART).select(*by, F.ceil(F.col("n") / PART).cast("int").alias("parts")), "hot")
+    keys = keys.join(hot, by, "left").withColumn("part", F.pmod(F.xxhash64("key", F.lit(8)), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    for end, name, own in (("a", "x", lambda df: df.where("side = 0").drop("side")), ("b", "y", lambda df: df)):
+        ends = [*on, end] if end == "a" else [*on, "side", end]
+        links = links.join(own(hot).withColumnRenamed("rid", end), ends, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        links = links.join(own(keys).withColumnsRenamed({"rid": end, "key": name}), [*ends, "part"]).drop("part")
     return links

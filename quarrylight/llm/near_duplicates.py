@@ -30,7 +30,7 @@ class NearDuplicates:
         of = self.texts.select("grp", "rid", "key")
         copies = of.groupBy("grp", "rid").agg(F.count("*").alias("n")).where("n > 1").select("grp", F.col("rid").alias("a"), F.col("rid").alias("b"))
         links = self.pairs.select("grp", "a", "b").unionByName(copies).withColumn("side", F.lit(0))
-        both = chosen_path.expanded(links, of, of.withColumn("side", F.lit(0)), ["grp"]).where("x <> y")
+        both = chosen_path.expanded(links, of.withColumn("side", F.lit(0)), ["grp"]).where("x <> y")
         return both.select("grp", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
 
     def classes(self) -> DataFrame:

@@ -31,7 +31,7 @@ class SimilarSets:
         of = self.members
         copies = of.where("side = 0").groupBy("grp", "rid").agg(F.count("*").alias("n")).where("n > 1").select("grp", F.col("rid").alias("a"), F.col("rid").alias("b"), F.lit(0).alias("side"))
         links = self.pairs.select("grp", "a", "b", "side").unionByName(copies)
-        both = chosen_path.expanded(links, of.where("side = 0").drop("side"), of, ["grp"]).where("x <> y")
+        both = chosen_path.expanded(links, of, ["grp"]).where("x <> y")
         return both.select("grp", "side", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
 
     def classes(self) -> DataFrame:
