@@ -7,43 +7,73 @@ from pyspark.sql import functions as F
 
 from quarrylight.functions.scores import quality_overall, stars_log
 from quarrylight.functions.text import or_null, owner_part, package_key, repo_part
-from quarrylight.operators.incidence import PAIRS, cell_products
-
-
-def top_of_either(pairs: DataFrame, most: int, *order: Column) -> DataFrame:
-    """Pairs (source, target) among the first `most` of source or of target."""
-    ends = pairs.select("*", F.explode(F.array("source", "target")).alias("_end"))
-    ranked = ends.withColumn("_rank", F.row_number().over(Window.partitionBy("_end").orderBy(*order, "source", "target")))
-    return ranked.where(F.col("_rank") <= most).drop("_end", "_rank").distinct()
-
-
-def compatible_edges(tagged: DataFrame, least: int = 2, most: int = 30, block: int = 1024) -> DataFrame:
+from quarrylight.operators.incidence import BLOCK, MASKED, NEAREST, nearest_lists, packed_block
+from quarrylight.storage import materialize
+
+#: Lists that are held against a block in one task, and nodes of one list that are named in one row.
+ASKED, MEMBERS = 131_072, 1_000
+#: Nodes whose ids may be broadcast, at some 72 bytes each; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def _numbered(rows: DataFrame, by: str) -> tuple[DataFrame, int]:
+    """rows, stored, with number: from 0 on in the order of the column by, and their count."""
+    stored = materialize(rows.orderBy(by).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33)
+    sizes = {r["part"]: r["n"] for r in stored.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}  # one row a partition
+    before = [sum(n for p, n in sizes.items() if p < k) for k in range(max(sizes, default=0) + 1)]
+    number = F.get(F.lit(before), part.cast("int")) + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return stored.withColumn("number", number.cast("int")).drop("_at"), sum(sizes.values())
+
+
+def _nearest(nodes: DataFrame, n: int, least: int, most: int, block: int) -> DataFrame:
+    """incidence.NEAREST of the distinct lists among n nodes (number, codes): up to `most` + 1 nodes, as a member may be one of them."""
+    by_list = Window.partitionBy("codes").orderBy("number")
+    ranked = nodes.select("number", "codes", (F.row_number().over(by_list) - 1).alias("rank"))
+    parts = max(1, -(-n // block))
+    asked = max(nodes.sparkSession.sparkContext.defaultParallelism, -(-n // ASKED))
+    queries = ranked.groupBy("codes", F.floor(F.col("rank") / MEMBERS).alias("_")).agg(F.collect_list("number").alias("members")).drop("_")
+    queries = queries.select(F.pmod(F.xxhash64("codes", F.element_at("members", 1)), F.lit(asked)).cast("int").alias("own"), "codes", "members")
+    held = ranked.where(F.col("rank") <= most).select(F.pmod("number", F.lit(parts)).cast("int").alias("part"), "number", "codes")
+    blocks = held.repartitionById(parts, F.col("part")).mapInArrow(packed_block, BLOCK)
+    cell = lambda own, part: (part * asked + own).cast("int").alias("cell")
+    met = blocks.withColumn("own", F.explode(F.sequence(F.lit(0), F.lit(asked - 1)))).select(cell(F.col("own"), F.col("part")), "block", F.lit(None).cast("array<long>").alias("codes"), F.lit(None).cast("array<int>").alias("members"))
+    met = met.unionByName(queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(cell(F.col("own"), F.col("part")), F.lit(None).cast("binary").alias("block"), "codes", "members"))
+    found = met.repartitionById(parts * asked, F.col("cell")).mapInArrow(nearest_lists(least, most + 1), NEAREST)
+    found = found.select("members", F.arrays_zip("near", "shared", "longer", "mine", "theirs").alias("l"))
+    if parts > 1:
+        ordered = F.array_sort(F.transform(F.flatten(F.collect_list("l")), lambda x: F.struct((-x["shared"] / x["longer"]).alias("w"), x["near"].alias("near"), x.alias("x"))))
+        found = found.groupBy("members").agg(F.transform(F.slice(ordered, 1, most + 1), lambda y: y["x"]).alias("l"))
+    return found
+
+
+def compatible_edges(tagged: DataFrame, least: int = 2, most: int = 30, block: int = 500_000) -> DataFrame:
     """source < target, shared_tags, shared_count, weight, confidence of repos that share at least `least` tags.
 
     tagged: id string, tags array<string>, one row an id; null, blank and repeated tags don't count, nor their case.
     weight is the share of the longer list; a pair stays if it is among the `most` heaviest of either end (ties: by ids).
 
-    Repos meet once, in the cell of the rarest tag they share: products of sparse incidence blocks count there what else
-    they share, and `most` pairs a repo leave a cell. The least - 1 most frequent tags of a list can't be the rarest of
-    `least` shared ones, so repos don't go there. A tag of more than `block` repos has a cell for every two blocks of
-    them. Names of tags are fetched for the pairs that stay.
+    Ids are numbered in their order. Each distinct list is held against all repos (`most` + 1 of an equal list at most),
+    `block` of them at once, and only its nearest leave the task, as numbers with masks of the tags they share: nothing
+    that grows with the pairs of a tag is ever written. Ids and names are fetched for the pairs that stay.
+    Runs jobs and writes to the shared folder when called.
     """
     tags = F.array_sort(F.array_distinct(F.filter(F.transform("tags", lambda t: F.lower(t)), lambda t: F.trim(t) != "")))
-    nodes = tagged.where(F.col("id").isNotNull()).select("id", tags.alias("tags")).where(F.size("tags") >= least)
-    flat = nodes.select("id", F.explode("tags").alias("tag"))
-    counts = flat.groupBy("tag").agg(F.count("*").alias("n")).withColumn("code", F.xxhash64("tag"))
-    listed = flat.join(counts, "tag").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "code"))).alias("l"))  # the rarest first
-    posted = listed.select("id", F.col("l.code").alias("codes"), F.posexplode(F.slice("l", F.lit(1), F.size("l") - (least - 1))).alias("at", "t"))
-    blocks = F.ceil(F.col("t.n") / block).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int")
-    posted = posted.select("id", "codes", "at", F.col("t.code").alias("tag"), own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    cells = posted.select("tag", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("right"), "id", "at", "codes")
-    tasks = 4 * int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number, as small rows make long tasks here
-    found = cells.repartition(tasks, "tag", "p", "q").sortWithinPartitions("tag", "p", "q").mapInArrow(cell_products(least, most), PAIRS)
-    weighted = found.withColumn("weight", F.col("shared_count") / F.col("longer")).withColumn("confidence", F.least(F.lit(0.85), F.col("shared_count") / 5))
-    kept = top_of_either(weighted.drop("longer"), most, F.desc("weight"))
-    both = kept.join(nodes.select(F.col("id").alias("source"), F.col("tags").alias("a")), "source").join(nodes.select(F.col("id").alias("target"), F.col("tags").alias("b")), "target")
-    return both.select("source", "target", F.array_sort(F.array_intersect("a", "b")).alias("shared_tags"), "shared_count", "weight", "confidence")
+    listed = tagged.where(F.col("id").isNotNull()).select("id", tags.alias("tags")).where(F.size("tags") >= least)
+    nodes, n = _numbered(listed, "id")
+    widest = nodes.agg(F.max(F.size("tags")).alias("n")).first()["n"] or 0
+    found = _nearest(nodes.select("number", F.transform("tags", lambda t: F.xxhash64(t)).alias("codes")), n, least, most, block)
+    others = F.slice(F.filter("l", lambda x: x["near"] != F.col("number")), 1, most)
+    pairs = found.select(F.explode("members").alias("number"), "l").select("number", F.explode(others).alias("x")).select("number", "x.*")
+    mask = F.when(F.col("number") < F.col("near"), F.col("mine")).otherwise(F.col("theirs")) if widest <= MASKED else F.lit(0)
+    pairs = pairs.select(F.least("number", "near").alias("a"), F.greatest("number", "near").alias("b"), F.col("shared").alias("shared_count"), "longer", mask.alias("mask"))
+    pairs = pairs.repartition("a").distinct()
+    two = nodes.select(F.col("number").alias("b"), F.col("id").alias("target"), *([] if widest <= MASKED else [F.col("tags").alias("others")]))
+    both = pairs.join(nodes.select(F.col("number").alias("a"), F.col("id").alias("source"), "tags"), "a")
+    names = F.filter("tags", lambda _, k: F.getbit(F.col("mask"), k) == 1) if widest <= MASKED else F.array_intersect("tags", "others")
+    both = both.join(F.broadcast(two) if n <= BROADCAST_IDS and widest <= MASKED else two, "b")
+    weight, confidence = F.col("shared_count") / F.col("longer"), F.least(F.lit(0.85), F.col("shared_count") / 5)
+    return both.select("source", "target", names.alias("shared_tags"), F.col("shared_count").cast("long").alias("shared_count"), weight.alias("weight"), confidence.alias("confidence"))
 
 
 def _first_ids(grouped: DataFrame, group: str, most: int) -> DataFrame:

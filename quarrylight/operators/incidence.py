@@ -1,149 +1,174 @@
-"""Products of sparse incidence blocks: how many tags the repos of a cell share, and the heaviest pairs of each."""
+"""The nearest of a block of tag lists to each of many, by sums of incidence columns."""
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-PAIRS = "source string, target string, shared_count long, longer int"
-_SCHEMA = pa.schema([("source", pa.string()), ("target", pa.string()), ("shared_count", pa.int64()), ("longer", pa.int32())])
-#: Of a cell with more than COLUMNS tags only those of more than DENSE pairs go through dense products, COLUMNS at once.
-DENSE, COLUMNS = 60_000, 1024
-
-
-def _incidence(codes: pa.ListArray, skip: np.ndarray, before: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Tag and row of every entry of the lists that stands before, or else after, the position skip of its row."""
-    offsets = codes.offsets.to_numpy()
-    lengths = np.diff(offsets)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    flat = codes.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-    place = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], lengths)
-    kept = place < skip[row] if before else place > skip[row]
-    return flat[kept], row[kept]
-
-
-def _product(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], rows: int, columns: int) -> np.ndarray:
-    """In how many tags each row of left and each of right agree."""
-    tags = np.intersect1d(left[0], right[0])
-    sides = []
-    for tag, row in (left, right):
-        if len(tags) == 0:
-            break
-        at = np.minimum(np.searchsorted(tags, tag), len(tags) - 1)
-        kept = tags[at] == tag
-        sides.append((at[kept], row[kept]))
-    if not sides:
-        return np.zeros((rows, columns), dtype=np.int32)
-    (a, x), (b, y) = sides
-    if len(tags) <= COLUMNS:
-        return _dense(a, x, b, y, rows, columns, len(tags))
-    wide = np.bincount(a, minlength=len(tags)) * np.bincount(b, minlength=len(tags)) > DENSE
-    out = np.zeros((rows, columns), dtype=np.int32)
-    many = np.flatnonzero(wide)
-    for first in range(0, len(many), COLUMNS):
-        some = many[first : first + COLUMNS]
-        place = np.full(len(tags), -1)
-        place[some] = np.arange(len(some))
-        k, m = place[a] >= 0, place[b] >= 0
-        out += _dense(place[a[k]], x[k], place[b[m]], y[m], rows, columns, len(some))
-    order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
-    x, y, ends = x[order_a], y[order_b], np.arange(len(tags) + 1)
-    at_a, at_b = np.searchsorted(a[order_a], ends), np.searchsorted(b[order_b], ends)
-    for k in np.flatnonzero(~wide):
-        out[x[at_a[k] : at_a[k + 1], None], y[at_b[k] : at_b[k + 1]]] += 1
-    return out
-
-
-def _dense(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, rows: int, columns: int, tags: int) -> np.ndarray:
-    """_product by a dense product, of entries (tag a, row x) and (tag b, row y)."""
-    left, right = np.zeros((rows, tags), dtype=np.float32), np.zeros((columns, tags), dtype=np.float32)
-    left[x, a] = 1
-    right[y, b] = 1
-    return np.rint(left @ right.T).astype(np.int32)
-
-
-def _near_top(weight: np.ndarray, most: int, mirrored: bool) -> np.ndarray:
-    """Entries that are no lighter than the most-th of their row or column; mirrored: only what lies above the diagonal is given."""
-    out = np.zeros(weight.shape, dtype=bool)
-    whole = weight + weight.T if mirrored else weight
-    for w, mask in ((whole, out), (whole.T, out.T)):
-        if w.shape[1] > most:
-            mask |= w >= np.partition(w, w.shape[1] - most, axis=1)[:, w.shape[1] - most, None]
-        else:
-            mask |= True
-        if mirrored:
-            out |= out.T.copy()
-            break
-    return out & (weight > 0)
-
-
-def _heaviest(i: np.ndarray, j: np.ndarray, shared: np.ndarray, longer: np.ndarray, most: int, nodes: int) -> np.ndarray:
-    """Which pairs i < j (numbers in the order of the ids) are among the most heaviest of i or of j."""
-    keep = np.zeros(len(i), dtype=bool)
-    order = np.lexsort((j, i, -(shared / longer)))
-    for end in (i, j):
-        by_end = order[np.argsort(end[order], kind="stable")]
-        starts = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=nodes))])[:-1]
-        keep[by_end[np.arange(len(i)) - starts[end[by_end]] < most]] = True
-    return keep
-
-
-def _cell(rows: pa.RecordBatch, least: int, most: int) -> pa.RecordBatch | None:
-    """The pairs of one cell (right, id, at, codes) whose rarest shared tag is the cell's."""
-    sides = rows.column(0).to_numpy(zero_copy_only=False)
-    ids, order = np.unique(np.array(rows.column(1).to_pylist(), dtype=object), return_inverse=True)
-    at, lengths = rows.column(2).to_numpy(), np.diff(rows.column(3).offsets.to_numpy())
-    one = np.flatnonzero(~sides)
-    two = np.flatnonzero(sides) if sides.any() else one
-    parts = [(rows.column(3).take(pa.array(part)), at[part]) for part in (one, two)]
-    shared = _product(*(_incidence(codes, skip, before=False) for codes, skip in parts), len(one), len(two)) + 1
-    shared[shared < least] = 0
-    if shared.any():
-        shared[_product(*(_incidence(codes, skip, before=True) for codes, skip in parts), len(one), len(two)) > 0] = 0
-    if two is one:
-        shared = np.triu(shared, 1)
-    weight = (shared / np.maximum.outer(lengths[one], lengths[two])).astype(np.float32)
-    x, y = np.nonzero(_near_top(weight, most, two is one))
-    if not len(x):
-        return None
-    n, longer = shared[x, y], np.maximum(lengths[one[x]], lengths[two[y]])
-    x, y = order[one[x]], order[two[y]]
-    i, j = np.minimum(x, y), np.maximum(x, y)
-    keep = _heaviest(i, j, n, longer, most, len(ids))
-    columns = [pa.array(ids[i[keep]], pa.string()), pa.array(ids[j[keep]], pa.string()), pa.array(n[keep].astype(np.int64)), pa.array(longer[keep].astype(np.int32))]
-    return pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
-
-
-def cell_products(least: int, most: int):
-    """Rows of cells (tag, p, q, right, id, at, codes), sorted by the first three, to the pairs that leave each cell.
-
-    at is the place of the cell's tag in codes, the tags of the list from the rarest on. A cell with p = q holds one
-    block, whose repos meet each other; else the rows with and without `right` meet. A cell has at most two blocks.
+BLOCK = "part int, block binary"
+NEAREST = "members array<int>, near array<int>, shared array<int>, longer array<int>, mine array<long>, theirs array<long>"
+_LISTS = {"near": np.int32, "shared": np.int32, "longer": np.int32, "mine": np.int64, "theirs": np.int64}
+#: A tag of more than a 48th of a block's lists is held as a column of ones and zeros, of which there are thus at most 48 times the mean length.
+DENSE = 48
+#: Lists whose results are returned together, and how many arrays of thresholds are remembered.
+TOGETHER, REMEMBERED = 2_000, 64
+#: A mask has a bit for each of so many tags of a list.
+MASKED = 63
+
+
+def _lists(codes: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The lengths of lists, and their values one after another."""
+    return np.diff(codes.offsets.to_numpy()), codes.flatten().to_numpy(zero_copy_only=False)
+
+
+def packed_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, number, codes) of one part to one row with all of them, by length and number."""
+    rows = pa.Table.from_batches(held).combine_chunks() if (held := [b for b in batches if b.num_rows]) else None
+    if rows is None:
+        return
+    numbers, lengths = rows.column(1).to_numpy(), np.diff(rows.column(2).combine_chunks().offsets.to_numpy())
+    rows = rows.take(pa.array(np.lexsort((numbers, lengths))))
+    lengths, flat = _lists(rows.column(2).combine_chunks())
+    tags, codes = np.unique(flat, return_inverse=True)
+    np.savez_compressed(out := io.BytesIO(), tags=tags, codes=codes.astype(np.int32), lengths=lengths, numbers=rows.column(1).to_numpy())
+    yield pa.RecordBatch.from_arrays([pa.array([rows.column(0)[0].as_py()], pa.int32()), pa.array([out.getvalue()], pa.binary())], names=["part", "block"])
+
+
+class Block:
+    """Lists of tags, of which nearest() finds the `most` that share the greatest part of the longer list with another, by least numbers."""
+
+    def __init__(self, packed: bytes, least: int, most: int):
+        held = np.load(io.BytesIO(packed))
+        self.least, self.most = least, most
+        self.tags, self.codes, self.lengths, self.numbers = (held[k] for k in ("tags", "codes", "lengths", "numbers"))
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
+        n = len(self.lengths)
+        counts = np.bincount(self.codes, minlength=len(self.tags))
+        self.rows = np.repeat(np.arange(n, dtype=np.int32), self.lengths)[np.argsort(self.codes, kind="stable")]
+        self.at = np.concatenate([[0], np.cumsum(counts)])
+        self.sums = np.zeros(n, dtype=np.uint8 if self.lengths[-1] < 255 else np.uint32)
+        self.never = np.iinfo(self.sums.dtype).max
+        self.columns = {}
+        for c in np.flatnonzero(counts * DENSE > n):
+            self.columns[c] = np.zeros(n, dtype=self.sums.dtype)
+            self.columns[c][self.rows[self.at[c] : self.at[c + 1]]] = 1
+        self.widths, first = np.unique(self.lengths, return_index=True)
+        self.bounds = np.append(first, n)
+        self.levels: dict[int, list[tuple[int, int]]] = {}
+        self.known: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        self.guesses: dict[int, int] = {}
+
+    def _levels(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The weights that a list of this length can have, greatest first, and a numerator and denominator of each."""
+        if length not in self.levels:
+            pairs = {o / max(length, m): (o, max(length, m)) for m in self.widths.tolist() for o in range(min(length, m), self.least - 1, -1)}
+            weights = sorted(pairs, reverse=True)
+            self.levels[length] = np.array(weights), *np.array([pairs[w] for w in weights], dtype=np.int64).reshape(-1, 2).T
+        return self.levels[length]
+
+    def _thresholds(self, length: int, level: int) -> tuple[int, np.ndarray]:
+        """How many tags each of the block's lists must share to reach the level; given from the first list on that can, to the last."""
+        if (length, level) not in self.known:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            _, above, below = self._levels(length)
+            needed = np.maximum(self.least, -(-above[level] * np.maximum(length, self.widths) // below[level]))
+            able = needed <= np.minimum(length, self.widths)
+            a, b = np.flatnonzero(able)[[0, -1]]
+            needed = np.where(able, needed, self.never)[a : b + 1]
+            self.known[length, level] = int(self.bounds[a]), np.repeat(needed.astype(self.sums.dtype), np.diff(self.bounds[a : b + 2]))
+        return self.known[length, level]
+
+    def nearest(self, codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of a list of so many tags, of which codes are those that the block has: places of the nearest lists, and how many tags each shares."""
+        weights = self._levels(length)[0]
+        if len(codes) < self.least or not len(weights):
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        sums = self.sums
+        sums.fill(0)
+        for c in codes.tolist():
+            column = self.columns.get(c)
+            if column is not None:
+                np.add(sums, column, out=sums)
+            else:
+                sums[self.rows[self.at[c] : self.at[c + 1]]] += 1
+        last, step = len(weights) - 1, 1
+        level = min(self.guesses.get(length, 0), last)
+        while True:
+            first, needed = self._thresholds(length, level)
+            found = np.flatnonzero(sums[first : first + len(needed)] >= needed) + first
+            if len(found) >= self.most or level == last:
+                break
+            level, step = min(last, level + step), 2 * step
+        shared = sums[found].astype(np.int64)
+        if len(found) > self.most:
+            weight = shared / np.maximum(length, self.lengths[found])
+            cut = -np.partition(-weight, self.most - 1)[self.most - 1]
+            above, tied = np.flatnonzero(weight > cut), np.flatnonzero(weight == cut)
+            wanted = self.most - len(above)
+            kept = np.concatenate([above, tied[np.argpartition(self.numbers[found[tied]], wanted - 1)[:wanted]]])
+            found, shared = found[kept], shared[kept]
+            level = int(np.searchsorted(-weights, -cut))
+        self.guesses[length] = level
+        return found, shared
+
+    def of(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """How many are nearest to each of the lists that lie in flat, and what NEAREST says of these, the nearest first."""
+        at = np.minimum(np.searchsorted(self.tags, flat), len(self.tags) - 1)
+        codes = np.where(self.tags[at] == flat, at, -1)
+        ends = np.cumsum(lengths)
+        each = [self.nearest((own := codes[e - n : e])[own >= 0], n) for e, n in zip(ends.tolist(), lengths.tolist())]
+        sizes = np.array([len(x) for x, _ in each], dtype=np.int64)
+        query, place, shared = np.repeat(np.arange(len(each)), sizes), *(np.concatenate(x) if each else np.empty(0, dtype=np.int64) for x in zip(*each))
+        longer = np.maximum(lengths[query], self.lengths[place])
+        order = np.lexsort((self.numbers[place], -(shared / longer), query))
+        query, place, shared, longer = query[order], place[order], shared[order], longer[order]
+        # what each pair shares, by places in either list
+        key = np.repeat(np.arange(len(lengths)), lengths) * len(self.tags) + codes
+        here = np.arange(len(flat)) - np.repeat(ends - lengths, lengths)
+        known = codes >= 0
+        key, here = key[known], here[known]
+        key, here = key[by := np.argsort(key)], here[by]
+        n = self.lengths[place]
+        pair = np.repeat(np.arange(len(place)), n)
+        there = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+        sought = query[pair] * len(self.tags) + self.codes[self.starts[place][pair] + there]
+        hit = np.minimum(np.searchsorted(key, sought), max(0, len(key) - 1))
+        both = key[hit] == sought if len(key) else np.zeros(0, dtype=bool)
+        masks = []
+        for bit in (here[hit] if len(key) else there, there):
+            mask = np.zeros(len(place), dtype=np.int64)
+            np.bitwise_or.at(mask, pair[both], np.left_shift(1, np.minimum(bit[both], MASKED - 1), dtype=np.int64))
+            masks.append(mask)
+        return sizes, {"near": self.numbers[place], "shared": shared, "longer": longer, "mine": masks[0], "theirs": masks[1]}
+
+
+def nearest_lists(least: int, most: int):
+    """Rows (part, block, codes, members) of one part, one of which holds a packed_block() and the others codes and members, to NEAREST.
+
+    near are the numbers of the `most` lists of the block that are nearest to codes. mine and theirs have a bit for each tag that is
+    shared, by its place in codes and in the other list; they mean nothing of lists of more than MASKED tags.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        block, held = None, []
         for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            keys = [held.column(k).to_numpy() for k in range(3)]
-            if not len(keys[0]):
-                continue
-            last = int(np.flatnonzero((keys[0] == keys[0][-1]) & (keys[1] == keys[1][-1]) & (keys[2] == keys[2][-1]))[0])
-            yield from cells(held.slice(0, last))
-            held = held.slice(last)
-        if held is not None:
-            yield from cells(held)
-
-    def cells(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not rows.num_rows:
+            packed = batch.column(1)
+            if packed.null_count < len(packed):
+                block = Block(packed.drop_null()[0].as_py(), least, most)
+            held.append(pa.RecordBatch.from_arrays(batch.filter(packed.is_null()).columns[2:], names=["codes", "members"]))
+        if block is None:
             return
-        rows = rows.combine_chunks().to_batches()[0]
-        keys = np.stack([rows.column(k).to_numpy() for k in range(3)])
-        starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [rows.num_rows]])
-        for a, b in zip(starts[:-1], starts[1:]):
-            if b - a > 1 and (found := _cell(pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in rows.columns[3:]], names=["right", "id", "at", "codes"]), least, most)) is not None:
-                yield found
+        for rows in held:
+            for first in range(0, rows.num_rows, TOGETHER):
+                some = pa.table(rows.slice(first, TOGETHER).to_pydict(), schema=rows.schema)
+                lengths, flat = _lists(some.column(0).combine_chunks())
+                sizes, found = block.of(flat, lengths)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(found[k].astype(kind))) for k, kind in _LISTS.items()]
+                yield pa.RecordBatch.from_arrays([some.column(1).combine_chunks(), *lists], names=["members", *_LISTS])
 
     return run

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 from harness import rows
@@ -38,6 +39,35 @@ def test_compatible_against_all_pairs(spark):
     assert {(r["source"], r["target"]): r["weight"] for r in found} == {p: pairs[p] for p in kept}
 
 
+@pytest.mark.parametrize("block, wide", [(500_000, 0), (7, 0), (7, 70)])
+def test_compatible_of_copies_blocks_and_wide_lists(spark, monkeypatch, block, wide):
+    monkeypatch.setattr(edges, "MEMBERS", 3)
+    random.seed(5)
+    lists = [frozenset(random.choices("abcdefghijkl", weights=range(1, 13), k=random.randint(0, 8))) for _ in range(30)] + [frozenset(f"t{k:02d}" for k in range(wide - d)) for d in range(3)]
+    sets = {f"n{k:03d}": lists[k % len(lists)] for k in range(4 * len(lists))} | {f"m{k}": frozenset("ab") for k in range(9)}
+    pairs = {(a, b): len(sets[a] & sets[b]) / max(len(sets[a]), len(sets[b])) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) >= 2}
+    kept = set()
+    for n in sets:
+        kept |= set(sorted((p for p in pairs if n in p), key=lambda p: (-pairs[p], p))[:5])
+    df = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "id string, tags array<string>")
+    found = edges.compatible_edges(df, most=5, block=block).collect()
+    assert sorted((r["source"], r["target"]) for r in found) == sorted(kept)
+    for r in found:
+        a, b = sets[r["source"]], sets[r["target"]]
+        assert (r["shared_tags"], r["shared_count"], r["weight"]) == (sorted(a & b), len(a & b), pairs[r["source"], r["target"]])
+
+
+def test_hot_tags_write_no_pairs(spark):
+    executors = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    written = lambda: sum(e.apply(k).totalShuffleWrite() for e in [executors()] for k in range(e.size()))
+    n = 4200
+    df = spark.createDataFrame([(f"n{k:05d}", ["hot", "warm", f"a{k % 61}", f"b{k % 53}"]) for k in range(n)], "id string, tags array<string>").localCheckpoint()
+    before = written()
+    assert edges.compatible_edges(df).where("shared_count >= 2").count() > 15 * n
+    time.sleep(0.5)  # the figures are kept by a listener
+    assert 0 < (written() - before) / n < 800  # bytes a repo
+
+
 def test_alternatives_keep_what_either_end_keeps(spark):
     nodes = [f"n{k:03d}" for k in range(40)]
     df = spark.createDataFrame([(n, "x") for n in nodes] + [("z", None), ("solo", "y")], "id string, category string")
