@@ -80,10 +80,10 @@ class Forest:
         """So many that recall is target_recall, or as many as there are coordinates if none are enough."""
         return next((n for n in range(1, COORDINATES) if self.recall(n) >= self.target_recall), COORDINATES)
 
-    def least_wide(self, filled: np.ndarray) -> np.ndarray:
-        """Of so many bins that either record fills, those that must agree: three standard deviations below what a pair at the threshold has."""
+    def least_wide(self, filled: np.ndarray, deviations: float = 3) -> np.ndarray:
+        """Of so many bins that either record fills, those that must agree: so many standard deviations below what a pair at the threshold has."""
         p = self.threshold + (1 - self.threshold) / 15
-        return filled * p - 3 * np.sqrt(filled * p * (1 - p))
+        return filled * p - deviations * np.sqrt(filled * p * (1 - p))
 
     def least_nibbles(self) -> int:
         """Of 32 nibbles that agree: three standard deviations below what a pair at the threshold has."""
@@ -170,9 +170,9 @@ def _compare(forest: Forest, by_size: bool, broad: bool):
             at = at[node[at] == node[at + lag]]
             if not len(at):
                 return
-            i, j = at, at + lag
-            keep = near(sketch, i, j)
-            keep &= (rid[i] != rid[j]) | (meta[i] != meta[j])
+            kept = near(sketch, at, at + lag)
+            i, j = at[kept], at[kept] + lag
+            keep = (rid[i] != rid[j]) | (meta[i] != meta[j])
             keep &= (meta[i] & meta[j] & 1) == 0
             if by_size:
                 m, n = (meta[i] >> 1) & 0xFFFFFFFF, (meta[j] >> 1) & 0xFFFFFFFF
@@ -263,6 +263,29 @@ def candidates(records: DataFrame, forest: Forest, by_size: bool = False) -> Dat
     return reduce(DataFrame.unionByName, parts).groupBy(*names).agg(F.lit(1).alias("_")).drop("_")
 
 
+def _narrow(forest: Forest):
+    """grp, a, b, wide sketch of a, of b to the pairs that pass five standard deviations below what one at the threshold has; one in a million of those there fails."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(k).flatten().to_numpy(zero_copy_only=False).reshape(-1, hashing.WIDE) for k in (3, 4))
+            filled = hashing.filled_nibbles(x | y).sum(axis=1)
+            kept = filled - hashing.filled_nibbles(x ^ y).sum(axis=1) >= forest.least_wide(filled, 5) - 1e-9
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], names=["grp", "a", "b"]).filter(pa.array(kept))
+
+    return run, "grp int, a long, b long"
+
+
+def narrowed(pairs: DataFrame, records: DataFrame, forest: Forest) -> DataFrame:
+    """The pairs grp, a, b of records rid, wide (a and b are rids) that pass by their wide sketches too.
+
+    Shallow leaves compare 32 nibbles, which most pairs of half the threshold pass; where verifying a pair is dear, this pays.
+    """
+    ends, (narrow, schema) = records.select("rid", "wide"), _narrow(forest)
+    both = pairs.join(ends.withColumnsRenamed({"rid": "a", "wide": "x"}), "a").join(ends.withColumnsRenamed({"rid": "b", "wide": "y"}), "b")
+    return both.select("grp", "a", "b", "x", "y").mapInArrow(narrow, schema)
+
+
 #: Keys of one record that are joined in one part.
 PART = 1000
 

@@ -62,14 +62,26 @@ def shingles(values: np.ndarray, width: int) -> np.ndarray:
     return mixed(total)
 
 
+#: Values hashed at once by minwise(), so that they stay in the processor's cache.
+CACHED = 1 << 15
+
+
 def minwise(values: np.ndarray, starts: np.ndarray, coordinates: int) -> np.ndarray:
     """For each run of values that begins at starts (none of them empty), the minimum under each of so many hash functions, as 31 bits."""
     out = np.empty((len(starts), coordinates), dtype=np.int32)
-    for c, m in enumerate(odd_numbers(coordinates, 99)):
-        h = values * m
-        h ^= h >> _U(29)
-        h *= _U(0x9E3779B97F4A7C15)
-        out[:, c] = (np.minimum.reduceat(h, starts) >> _U(33)).astype(np.int32)
+    factors, ends = odd_numbers(coordinates, 99), np.append(starts, len(values))
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + CACHED)))
+        part, at = values[ends[first] : ends[last]], starts[first:last] - starts[first]
+        h, high = np.empty_like(part), np.empty_like(part)
+        for c, m in enumerate(factors):
+            np.multiply(part, m, out=h)
+            np.right_shift(h, _U(29), out=high)
+            h ^= high
+            h *= _U(0x9E3779B97F4A7C15)
+            out[first:last, c] = np.minimum.reduceat(h, at) >> _U(33)
+        first = last
     return out
 
 

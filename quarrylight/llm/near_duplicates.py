@@ -106,7 +106,7 @@ def near_duplicates(texts: DataFrame, width: int = 5, threshold: float = 0.8, le
     signed = rows.dropDuplicates(same).select(*same, "text").mapInArrow(sign, schema).withColumn("rid", F.monotonically_increasing_id())
     signed = materialize(signed, "signed")
     met = chosen_path.candidates(signed.select("*", F.lit(0).alias("side"), F.lit(0).alias("size")), forest)
-    met = materialize(met.select("grp", "a", "b"), "met")
+    met = materialize(chosen_path.narrowed(met.select("grp", "a", "b"), signed, forest), "met")
     ids = met.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
     ids = materialize(signed.select(*same, "rid").join(ids, "rid", "left_semi"), "ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -115,4 +115,4 @@ def near_duplicates(texts: DataFrame, width: int = 5, threshold: float = 0.8, le
     verify, schema = _verify(width, threshold)
     pairs = materialize(both.select("grp", "a", "b", "x", "y").mapInArrow(verify, schema), "pairs")
     keyed = rows.select(*same, "key").distinct().join(signed.select(*same, "rid"), same).select("grp", "rid", "key")
-    return NearDuplicates(keyed, pairs)
+    return NearDuplicates(materialize(keyed, "keyed"), pairs)

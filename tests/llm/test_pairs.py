@@ -3,14 +3,17 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from harness import DATA, compare, rows
 from pyspark.sql import functions as F
 
 from quarrylight.llm import chosen_path, hashing, oracle, queries
+from quarrylight.llm import near_duplicates as near_duplicates_module
 from quarrylight.llm.chosen_path import Forest
 from quarrylight.llm.near_duplicates import near_duplicates
 from quarrylight.llm.set_join import gathered, similar_sets
+from quarrylight.storage import materialize
 
 WORDS = [f"w{k}" for k in range(4000)]
 
@@ -51,6 +54,30 @@ def test_near_duplicates_against_all_pairs(spark, forest):
     assert len(links) == len([t for t in texts if t and len(t.split()) >= 20]) and max(links.values()) > 0
 
 
+def test_few_texts_are_compared_that_are_not_near(spark, monkeypatch):
+    """Texts that share a template, at a similarity of 0.27, meet in the leaves, but wide sketches tell them apart before their words are read."""
+    rng = random.Random(11)
+    stock = " ".join(rng.choices(WORDS, k=60))
+    texts = [" ".join(rng.choices(WORDS, k=80)) + " " + stock for _ in range(120)]
+    texts += [edited(rng, t, 4) for t in texts[:40]]
+    met = {}
+    monkeypatch.setattr(near_duplicates_module, "materialize", lambda df, label: met.setdefault(label, materialize(df, label)))
+    found = near_duplicates(spark.createDataFrame([(0, f"k{k:03d}", t) for k, t in enumerate(texts)], "grp int, key string, text string"), 3, 0.6, 20)
+    near = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len((p := grams(texts[a], 3)) & (q := grams(texts[b], 3))) >= 0.6 * len(p | q)}
+    assert {(int(r["key_a"][1:]), int(r["key_b"][1:])) for r in found.key_pairs().collect()} == near and len(near) >= 40
+    assert met["met"].count() < 2 * len(near)
+
+
+def test_minima_of_long_and_short_runs(monkeypatch):
+    rng = np.random.default_rng(3)
+    lengths = np.array([1, 5, 70, 2, 1, 64, 3])
+    values, starts = rng.integers(0, 1 << 63, lengths.sum()).astype(np.uint64), np.cumsum(lengths) - lengths
+    whole = hashing.minwise(values, starts, 8)
+    monkeypatch.setattr(hashing, "CACHED", 16)
+    assert (hashing.minwise(values, starts, 8) == whole).all()
+    assert (whole == np.concatenate([hashing.minwise(values[a : a + n], np.array([0]), 8) for a, n in zip(starts, lengths)])).all()
+
+
 def test_dense_groups_are_whole(spark):
     """A third of the texts resemble each other: their node is compared in blocks."""
     rng = random.Random(7)
