@@ -11,8 +11,8 @@ import pyarrow as pa
 BLOCK = "part int, block binary"
 NEAREST = "members array<int>, near array<int>, shared array<int>, longer array<int>, mine array<long>, theirs array<long>"
 _LISTS = {"near": np.int32, "shared": np.int32, "longer": np.int32, "mine": np.int64, "theirs": np.int64}
-#: A tag of more than a 48th of a block's lists is held as a column of ones and zeros, of which there are thus at most 48 times the mean length.
-DENSE = 48
+#: A tag of more than a 100th of a block's lists is held as a column of ones and zeros, the most frequent first, while the columns stay within COLUMNS bytes.
+DENSE, COLUMNS = 100, 150_000_000
 #: Lists whose results are returned together, and how many arrays of thresholds are remembered.
 TOGETHER, REMEMBERED = 2_000, 64
 #: A mask has a bit for each of so many tags of a list.
@@ -37,6 +37,14 @@ def packed_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([rows.column(0)[0].as_py()], pa.int32()), pa.array([out.getvalue()], pa.binary())], names=["part", "block"])
 
 
+def _places(mask: np.ndarray) -> np.ndarray:
+    """np.flatnonzero(), eight at once, as few are true."""
+    whole = len(mask) // 8 * 8
+    at = np.flatnonzero(mask[:whole].view(np.uint64) != 0)
+    k = np.flatnonzero(mask[:whole].reshape(-1, 8)[at])
+    return np.concatenate([8 * at[k // 8] + k % 8, np.flatnonzero(mask[whole:]) + whole])
+
+
 class Block:
     """Lists of tags, of which nearest() finds the `most` that share the greatest part of the longer list with another, by least numbers."""
 
@@ -47,12 +55,13 @@ class Block:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
         n = len(self.lengths)
         counts = np.bincount(self.codes, minlength=len(self.tags))
-        self.rows = np.repeat(np.arange(n, dtype=np.int32), self.lengths)[np.argsort(self.codes, kind="stable")]
+        self.rows = np.repeat(np.arange(n, dtype=np.intp), self.lengths)[np.argsort(self.codes, kind="stable")]
         self.at = np.concatenate([[0], np.cumsum(counts)])
         self.sums = np.zeros(n, dtype=np.uint8 if self.lengths[-1] < 255 else np.uint32)
         self.never = np.iinfo(self.sums.dtype).max
         self.columns = {}
-        for c in np.flatnonzero(counts * DENSE > n):
+        frequent = np.argsort(-counts, kind="stable")[: COLUMNS // self.sums.nbytes]
+        for c in frequent[counts[frequent] * DENSE > n].tolist():
             self.columns[c] = np.zeros(n, dtype=self.sums.dtype)
             self.columns[c][self.rows[self.at[c] : self.at[c + 1]]] = 1
         self.widths, first = np.unique(self.lengths, return_index=True)
@@ -99,10 +108,11 @@ class Block:
         level = min(self.guesses.get(length, 0), last)
         while True:
             first, needed = self._thresholds(length, level)
-            found = np.flatnonzero(sums[first : first + len(needed)] >= needed) + first
-            if len(found) >= self.most or level == last:
+            reach = sums[first : first + len(needed)] >= needed
+            if level == last or np.count_nonzero(reach) >= self.most:
                 break
             level, step = min(last, level + step), 2 * step
+        found = _places(reach) + first
         shared = sums[found].astype(np.int64)
         if len(found) > self.most:
             weight = shared / np.maximum(length, self.lengths[found])
@@ -120,7 +130,10 @@ class Block:
         at = np.minimum(np.searchsorted(self.tags, flat), len(self.tags) - 1)
         codes = np.where(self.tags[at] == flat, at, -1)
         ends = np.cumsum(lengths)
-        each = [self.nearest((own := codes[e - n : e])[own >= 0], n) for e, n in zip(ends.tolist(), lengths.tolist())]
+        each: list = [None] * len(lengths)
+        for k in np.argsort(lengths, kind="stable").tolist():  # those of one length have thresholds in common
+            own = codes[ends[k] - lengths[k] : ends[k]]
+            each[k] = self.nearest(own[own >= 0], int(lengths[k]))
         sizes = np.array([len(x) for x, _ in each], dtype=np.int64)
         query, place, shared = np.repeat(np.arange(len(each)), sizes), *(np.concatenate(x) if each else np.empty(0, dtype=np.int64) for x in zip(*each))
         longer = np.maximum(lengths[query], self.lengths[place])
